@@ -1,0 +1,4 @@
+"""No streaming operators: the workload is batch, one project at a time.
+
+Incremental loading is the additive upsert in ``goldkeel.operators.state``.
+"""
