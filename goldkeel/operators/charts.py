@@ -20,6 +20,7 @@ from goldkeel.functions.text import (
 )
 from goldkeel.operators.groups import (
     HOT_ROWS,
+    GroupTotal,
     broadcast_if_small,
     first_per_group,
     join_on_unique,
@@ -219,20 +220,11 @@ def appointment_counts(
         rules.key(F.col("Appointment_Type__c")).alias("_type"),
     )
     rows = join_on_unique(chart_rows, links, PAIR, hot_rows)
-    rows = with_group_totals(
-        rows,
-        ["Location__c", "_type"],
-        {"countOfChartsAtLocationbyAppointmentType": F.count("chart_id")},
-        ["Provider__c", "chart_id"],
-        hot_rows,
-    )
-    return with_group_totals(
-        rows,
-        ["Location__c"],
-        {"provider_charts_at_loc": F.count("Provider__c")},
-        ["Provider__c", "chart_id"],
-        hot_rows,
-    ).drop("_type")
+    totals = [
+        GroupTotal("countOfChartsAtLocationbyAppointmentType", ["Location__c", "_type"], F.count("chart_id")),
+        GroupTotal("provider_charts_at_loc", ["Location__c"], F.count("Provider__c")),
+    ]
+    return with_group_totals(rows, totals, ["Provider__c", "chart_id"], hot_rows).drop("_type")
 
 
 def first_row_per_location(rows: DataFrame) -> DataFrame:

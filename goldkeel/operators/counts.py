@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldkeel.functions.text import DEFAULT_RULES, TextRules
 from goldkeel.operators.charts import PAIR
-from goldkeel.operators.groups import HOT_ROWS, with_group_totals
+from goldkeel.operators.groups import HOT_ROWS, GroupTotal, with_group_totals
 
 KEYS = ("key_npi", "key_tin", "key_address", "key_full_address", "key_phone")
 
@@ -83,9 +83,8 @@ def _keyed_counts(pairs: DataFrame, names: Sequence[str], address_mode: str, hot
         )
 
     rows = pairs.select(*PAIR, "chart_count", F.inline(F.array(*[masked(n) for n in names])))
-    rows = with_group_totals(
-        rows, ["grain", "Location__c", *KEYS], {"total": F.sum("chart_count")}, PAIR, hot_rows
-    )
+    total = GroupTotal("total", ["grain", "Location__c", *KEYS], F.sum("chart_count"))
+    rows = with_group_totals(rows, [total], PAIR, hot_rows)
     wide = rows.groupBy(*PAIR).agg(*[F.max(F.when(F.col("grain") == n, F.col("total"))).alias(n) for n in names])
     return pairs.join(wide, PAIR)
 
@@ -151,16 +150,11 @@ def chart_counts_at(
         if value is not None:
             rows = rows.where(F.col(key) == rules.literal(value))
     keys = ["Location__c", *wanted]
-    found = with_group_totals(
-        rows,
-        keys,
-        {
-            "pairs_at_key": F.count(F.lit(1)),
-            "CountOfCharts_atLoc_byNpiTinAddPhone": F.sum("chart_count"),
-        },
-        ["Provider__c"],
-        hot_rows,
-    ).select(
+    totals = [
+        GroupTotal("pairs_at_key", keys, F.count(F.lit(1))),
+        GroupTotal("CountOfCharts_atLoc_byNpiTinAddPhone", keys, F.sum("chart_count")),
+    ]
+    found = with_group_totals(rows, totals, ["Provider__c"], hot_rows).select(
         *PAIR,
         "NPI__c",
         "TIN_ID__c",

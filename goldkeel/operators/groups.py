@@ -8,7 +8,8 @@ all other keys are shuffled as usual, at most ``hot_rows`` of them per key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,34 +35,37 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
     return condition
 
 
+class GroupTotal(NamedTuple):
+    """An aggregate over the rows that share some key columns."""
+
+    name: str
+    keys: Sequence[str]
+    aggregate: Column
+
+
 def with_group_totals(
-    df: DataFrame,
-    keys: Sequence[str],
-    totals: Mapping[str, Column],
-    spread_by: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, totals: Sequence[GroupTotal], spread_by: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add aggregates over each key group as columns, keeping every row.
+    """Add aggregates over key groups as columns, keeping every row.
 
     Cold groups are totalled by a window. Rows of hot groups take their total
     from the broadcast list, and their window partition is scattered by the
-    hash of ``spread_by``, so no task ever holds a hot group.
+    hash of ``spread_by``, so no task ever holds a hot group. The input is read
+    once more per total to find the hot groups; stage it if it is costly.
     """
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), *[agg.alias("_hot_" + name) for name, agg in totals.items()]
-    )
-    hot = sizes.where(F.col("_rows") > hot_rows).select(
-        *[F.col(k).alias("_key_" + k) for k in keys], *["_hot_" + name for name in totals], F.lit(True).alias("_is_hot")
-    )
-    marked = df.join(F.broadcast(hot), _same_keys(df, hot, keys, "_key_"), "left")
-    spread = F.when(F.col("_is_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0))
-    marked = marked.withColumn("_spread", spread)
-    window = Window.partitionBy(*keys, "_spread")
-    added = [
-        F.when(F.col("_is_hot"), F.col("_hot_" + name)).otherwise(agg.over(window)).alias(name)
-        for name, agg in totals.items()
-    ]
-    return marked.select(*df.columns, *added)
+    result = df
+    for total in totals:
+        keys = list(total.keys)
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), total.aggregate.alias("_total"))
+        hot = sizes.where(F.col("_rows") > hot_rows).select(
+            *[F.col(k).alias("_key_" + k) for k in keys], "_total", F.lit(True).alias("_is_hot")
+        )
+        marked = result.join(F.broadcast(hot), _same_keys(result, hot, keys, "_key_"), "left")
+        spread = F.when(F.col("_is_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0))
+        window = Window.partitionBy(*keys, "_spread")
+        value = F.when(F.col("_is_hot"), F.col("_total")).otherwise(total.aggregate.over(window))
+        result = marked.withColumn("_spread", spread).select(*result.columns, value.alias(total.name))
+    return result
 
 
 def join_on_unique(

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from goldkeel.functions.ids import location_id_columns
 from goldkeel.functions.labels import RETRIEVAL_SUMMARY
 from goldkeel.functions.text import address_lines, cleanse_phone, fix_zip
-from goldkeel.operators.groups import HOT_ROWS, first_per_group, with_group_totals
+from goldkeel.operators.groups import HOT_ROWS, GroupTotal, first_per_group, with_group_totals
 
 # Id column and the name of its group size in the merge report.
 ID_KINDS = {
@@ -122,9 +122,8 @@ def merge_report(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     report = candidates.select(
         *ID_KINDS, "Location__c", "SFDC_LID", F.col("CreatedDate").alias("sfdcLidCreatedDate")
     )
-    for kind, size in ID_KINDS.items():
-        report = with_group_totals(report, [kind], {size: F.count("SFDC_LID")}, ["Location__c"], hot_rows)
-    return report
+    totals = [GroupTotal(size, [kind], F.count("SFDC_LID")) for kind, size in ID_KINDS.items()]
+    return with_group_totals(report, totals, ["Location__c"], hot_rows)
 
 
 def merge_reduction(candidates: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -47,3 +47,14 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="goldkeel-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from there.
+
+    For tables used several times: later stages rescan only the columns they
+    need, know the true size, and a lost executor costs no recomputation.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,9 @@ can build the same tables in either engine.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from goldkeel.session import scratch_folder
 from goldkeel.sources.schemas import REGISTRY_DATES, registry_columns
 
 
@@ -154,54 +156,91 @@ def duckdb_ctes() -> dict[str, str]:
     }
 
 
+# Column types of the generated tables, so reading them infers nothing.
+STAR_SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 class Bindings:
-    """The logical tables as DataFrames over one folder of Parquet files."""
+    """The logical tables over one folder of Parquet files.
+
+    Each table is derived once per session, written to the shared folder and
+    scanned from there, as stored provider, chart and location tables would be.
+    """
+
+    _written: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-
-    @staticmethod
-    def _expressions(columns: dict[str, str]) -> list[str]:
-        return [f"{expression} as {name}" for name, expression in columns.items()]
+    def _star(self, name: str) -> DataFrame:
+        return self.spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _lines(self) -> DataFrame:
-        lineitem, orders = self._read("lineitem"), self._read("orders")
+        lineitem, orders = self._star("lineitem"), self._star("orders")
         return lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
 
+    def _derive(self, name: str) -> DataFrame:
+        def bound(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+            return df.selectExpr(*[f"{expression} as {column}" for column, expression in columns.items()])
+
+        if name == "provider":
+            return bound(self._star("customer"), PROVIDER)
+        if name == "location":
+            return bound(self._star("supplier"), LOCATION)
+        if name == "chart":
+            return bound(self._lines(), CHART)
+        if name == "registry":
+            return bound(self._star("customer"), REGISTRY)
+        if name == "deactivation":
+            return bound(self._star("customer").where(DEACTIVATED), DEACTIVATION)
+        people = bound(self._star("customer"), PROVIDER).select("Id", "Project_Name__c")
+        lines = self._lines()
+        return bound(lines.join(people, lines["o_custkey"] == people["Id"]), JUNCTION)
+
+    def _table(self, name: str) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in self._written:
+            path = scratch_folder(self.spark, f"table-{name}")
+            derived = self._derive(name)
+            derived.write.parquet(path)
+            self._written[key] = path, derived.schema
+        path, schema = self._written[key]
+        return self.spark.read.schema(schema).parquet(path)
+
     @property
     def provider(self) -> DataFrame:
-        return self._read("customer").selectExpr(*self._expressions(PROVIDER))
+        return self._table("provider")
 
     @property
     def location(self) -> DataFrame:
-        return self._read("supplier").selectExpr(*self._expressions(LOCATION))
+        return self._table("location")
 
     @property
     def junction(self) -> DataFrame:
-        people = self.provider.select("Id", "Project_Name__c")
-        lines = self._lines()
-        return lines.join(people, lines["o_custkey"] == people["Id"]).selectExpr(*self._expressions(JUNCTION))
+        return self._table("junction")
 
     @property
     def charts(self) -> DataFrame:
-        return self._lines().selectExpr(*self._expressions(CHART))
+        return self._table("chart")
 
     @property
     def registry(self) -> DataFrame:
-        return self._read("customer").selectExpr(*self._expressions(REGISTRY))
+        return self._table("registry")
 
     @property
     def registry_file(self) -> DataFrame:
         """All 329 columns in file order, those without a binding NULL."""
-        known = self.registry
         dates = set(REGISTRY_DATES)
         blank = {c: f"cast(null as {'date' if c in dates else 'string'}) as {c}" for c in registry_columns()}
-        return known.selectExpr(*[c if c in REGISTRY else blank[c] for c in registry_columns()])
+        return self.registry.selectExpr(*[c if c in REGISTRY else blank[c] for c in registry_columns()])
 
     @property
     def deactivation(self) -> DataFrame:
-        return self._read("customer").where(DEACTIVATED).selectExpr(*self._expressions(DEACTIVATION))
+        return self._table("deactivation")

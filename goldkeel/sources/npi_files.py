@@ -51,8 +51,8 @@ def _load_csv(
     key = schema.fieldNames()[0]
     rejects = lines.where(F.col(CORRUPT).isNotNull())
     if max_errors is not None:
-        seen = rejects.limit(max_errors + 1).select(key, CORRUPT).count()
-        if seen > max_errors:
+        seen = rejects.select(key, CORRUPT).limit(max_errors + 1).collect()
+        if len(seen) > max_errors:
             raise ValueError(f"more than {max_errors} bad rows in {path}")
     return Load(rows, rejects.select(key, CORRUPT))
 
