@@ -75,6 +75,7 @@ RETRIEVAL_SUMMARY = (
 
 
 def retrieval_type(name: Column, rules: TextRules = DEFAULT_RULES) -> Column:
+    """The label of a retrieval name that ``rules`` already folded."""
     label = F.when(name.isNull(), NO_NAME_LABEL)
     for rule in RETRIEVAL_RULES:
         hit = rules.contains_any(name, rule.keywords)

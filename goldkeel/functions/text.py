@@ -41,12 +41,19 @@ class TextRules:
     def like(self, col: Column, pattern: str) -> Column:
         return col.like(pattern) if self.case_sensitive else col.ilike(pattern)
 
-    def contains_any(self, col: Column, words: Sequence[str]) -> Column:
+    def keys(self, names: Sequence[str]) -> dict[str, Column]:
+        return {name: self.key(F.col(name)) for name in names}
+
+    def folded(self, col: Column) -> Column:
+        return col if self.case_sensitive else F.lower(col)
+
+    def contains_any(self, folded: Column, words: Sequence[str]) -> Column:
+        """Whether a folded text contains one of the words."""
         if not self.case_sensitive:
-            col, words = F.lower(col), [w.lower() for w in words]
+            words = [w.lower() for w in words]
         found = F.lit(False)
         for word in dict.fromkeys(words):
-            found = found | F.contains(col, F.lit(word))
+            found = found | F.contains(folded, F.lit(word))
         return found
 
 

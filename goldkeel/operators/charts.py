@@ -22,6 +22,7 @@ from goldkeel.operators.groups import (
     HOT_ROWS,
     GroupTotal,
     broadcast_if_small,
+    counted,
     first_per_group,
     join_on_unique,
     with_group_totals,
@@ -55,12 +56,8 @@ def select_projects(
         chosen = chosen.where(rules.like(client_col, client_like))
     if project_like is not None:
         chosen = chosen.where(rules.like(project_col, project_like))
-    grouped = chosen.groupBy(rules.key(client_col).alias("_client"), rules.key(project_col).alias("_project"))
-    return grouped.agg(
-        F.min("Client_Name__c").alias("Client_Name__c"),
-        F.min("Project_Name__c").alias("Project_Name__c"),
-        F.count(F.lit(1)).alias("count_recs"),
-    ).drop("_client", "_project")
+    names = ["Client_Name__c", "Project_Name__c"]
+    return counted(chosen, names, rules.keys(names), "count_recs")
 
 
 def provider_locations(
@@ -75,8 +72,11 @@ def provider_locations(
         *PAIR, "CreatedDate", "LastModifiedDate", rules.key(F.col("Project_Name__c")).alias("_project")
     )
     links = links.join(broadcast_if_small(names, max_broadcast_projects), "_project", "left_semi").drop("_project")
-    first = first_per_group(links, PAIR, [F.col("LastModifiedDate").asc_nulls_first()])
-    return first.select(*PAIR, effective_date(F.col("LastModifiedDate"), F.col("CreatedDate")).alias("plj_record_date"))
+    # Smallest (modified, created) per pair, NULL first: an aggregate, so copies
+    # of a pair shrink to one row per map task.
+    first = links.groupBy(*PAIR).agg(F.min(F.struct("LastModifiedDate", "CreatedDate")).alias("_first"))
+    record_date = effective_date(F.col("_first.LastModifiedDate"), F.col("_first.CreatedDate"))
+    return first.select(*PAIR, record_date.alias("plj_record_date"))
 
 
 def contact_keys(provider: DataFrame, strip_country: bool = False) -> DataFrame:
@@ -123,17 +123,16 @@ def passing_charts(
     )
 
 
-def qualifying_charts(
+def linked_charts(
     links: DataFrame,
     charts: DataFrame,
-    provider: DataFrame,
     disposition: str = DISPOSITION,
     status: str = STATUS,
     exclude_mrt: str = REPLICA,
     rules: TextRules = DEFAULT_RULES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Chart rows of the linked (location, provider) pairs with contact fields."""
+    """Passing chart rows of the linked (location, provider) pairs."""
     chart_rows = passing_charts(charts, disposition, status, exclude_mrt, rules).select(
         *PAIR,
         F.col("Id").alias("chart_id"),
@@ -141,13 +140,29 @@ def qualifying_charts(
         "MRT_Name__c",
         "Appointment_Type__c",
     )
-    linked = links.join(contact_keys(provider), "Provider__c")
-    return join_on_unique(chart_rows, linked, PAIR, hot_rows)
+    return join_on_unique(chart_rows, links, PAIR, hot_rows)
+
+
+def qualifying_charts(
+    links: DataFrame,
+    charts: DataFrame,
+    provider: DataFrame,
+    disposition: str = DISPOSITION,
+    status: str = STATUS,
+    exclude_mrt: str = REPLICA,
+    rules: TextRules = DEFAULT_RULES,
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Linked chart rows with the contact fields of their provider."""
+    with_contact = links.join(contact_keys(provider), "Provider__c")
+    return linked_charts(with_contact, charts, disposition, status, exclude_mrt, rules, hot_rows)
 
 
 def classify_retrieval(charts: DataFrame, rules: TextRules = DEFAULT_RULES) -> DataFrame:
     """Add ``Retreival_type``, the way the chart came in."""
-    return charts.withColumn("Retreival_type", retrieval_type(F.col("MRT_Name__c"), rules))
+    # The folded name is a column of its own: computed once, tested many times.
+    named = charts.withColumn("_name", rules.folded(F.col("MRT_Name__c")))
+    return named.withColumn("Retreival_type", retrieval_type(F.col("_name"), rules)).drop("_name")
 
 
 def pair_counts(
@@ -164,13 +179,12 @@ def pair_counts(
     Nearly everything downstream is constant within such a pair, so charts are
     scanned once and counted before any join.
     """
-    typed = passing_charts(charts, disposition, status, exclude_mrt, rules).select(
-        *PAIR, "Id", retrieval_type(F.col("MRT_Name__c"), rules).alias("_type")
-    )
-    counted = typed.groupBy(*PAIR).agg(
+    passing = passing_charts(charts, disposition, status, exclude_mrt, rules).select(*PAIR, "Id", "MRT_Name__c")
+    typed = classify_retrieval(passing, rules)
+    per_pair = typed.groupBy(*PAIR).agg(
         F.count("Id").alias("chart_count"),
         *[
-            F.count(F.when(F.col("_type") == label, 1)).alias(f"charts_retreived_via_{name}")
+            F.count(F.when(F.col("Retreival_type") == label, 1)).alias(f"charts_retreived_via_{name}")
             for label, name in RETRIEVAL_SUMMARY
         ],
     )
@@ -189,7 +203,7 @@ def pair_counts(
         rules.key(piped_full_address(suite, city, state, zip_code)).alias("key_full_address"),
         rules.key(F.coalesce(F.col("Phone_Number__c"), F.col("Secondary_Phone_Number__c"))).alias("key_phone"),
     )
-    return links.join(counted, PAIR).join(keys, "Provider__c")
+    return links.join(per_pair, PAIR).join(keys, "Provider__c")
 
 
 def retrieval_summary(pairs: DataFrame) -> DataFrame:
@@ -205,36 +219,26 @@ def retrieval_summary(pairs: DataFrame) -> DataFrame:
 
 
 def appointment_counts(
-    links: DataFrame,
-    charts: DataFrame,
-    rules: TextRules = DEFAULT_RULES,
-    hot_rows: int = HOT_ROWS,
+    rows: DataFrame, rules: TextRules = DEFAULT_RULES, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Chart rows with the rows at their location and the charts of their
-    appointment type there."""
-    chart_rows = passing_charts(charts, rules=rules).select(
-        *PAIR,
-        F.col("Id").alias("chart_id"),
-        effective_date(F.col("LastModifiedDate"), F.col("CreatedDate")).alias("chart_date"),
-        "Appointment_Type__c",
-        rules.key(F.col("Appointment_Type__c")).alias("_type"),
-    )
-    rows = join_on_unique(chart_rows, links, PAIR, hot_rows)
+    appointment type there. Stage ``rows``: they are read three times."""
+    typed = rows.withColumn("_type", rules.key(F.col("Appointment_Type__c")))
     totals = [
         GroupTotal("countOfChartsAtLocationbyAppointmentType", ["Location__c", "_type"], F.count("chart_id")),
         GroupTotal("provider_charts_at_loc", ["Location__c"], F.count("Provider__c")),
     ]
-    return with_group_totals(rows, totals, ["Provider__c", "chart_id"], hot_rows).drop("_type")
+    return with_group_totals(typed, totals, ["Provider__c", "chart_id"], hot_rows).drop("_type")
 
 
 def first_row_per_location(rows: DataFrame) -> DataFrame:
     """One chart row per location, by earliest link date."""
-    return first_per_group(rows, ["Location__c"], [F.col("plj_record_date").asc_nulls_first()])
+    return first_per_group(rows, ["Location__c"], {"plj_record_date": F.col("plj_record_date").asc_nulls_first()})
 
 
 def latest_chart_per_pair(rows: DataFrame) -> DataFrame:
     """One chart row per (location, provider), the latest chart."""
-    return first_per_group(rows, PAIR, [F.col("chart_date").desc_nulls_last()])
+    return first_per_group(rows, PAIR, {"chart_date": F.col("chart_date").desc_nulls_last()})
 
 
 def sorted_report(df: DataFrame, order: Sequence[str | int]) -> DataFrame:

@@ -33,6 +33,7 @@ def chase_list(
     Each count of a location is added once per provider there, so sums exceed
     the number of charts as soon as providers share a key. ``location_map``
     needs ``NEW_LID_ALL``, ``Location__c`` and the location's creation date.
+    For ``by='lid_provider'`` pass a staged count matrix as ``pairs``.
     """
     if by not in BY:
         raise ValueError(f"by must be one of {BY}, not {by!r}")
@@ -46,12 +47,16 @@ def chase_list(
         return result.select(
             *([] if client is None else constants), "New_lid_all", "CreatedDate", *COUNT_COLUMNS
         )
-    located = join_on_unique(pairs, lids.drop("_created"), ["Location__c"], hot_rows)
-    matrix = chart_count_matrix(located, SESSION_GRAINS, address_mode or "full", hot_rows)
+    counted = set(SESSION_GRAINS) <= set(pairs.columns)
+    matrix = pairs if counted else chart_count_matrix(pairs, SESSION_GRAINS, address_mode or "full", hot_rows)
     shown = ["NPI__c", "TIN_ID__c", "FULL_ADDRESS", "Phone_Number__c"]
     keys = [rules.key(F.col(name)).alias("_key_" + name) for name in shown]
+    sums = [F.sum(c).alias(c) for c in SESSION_GRAINS]
+    per_location = matrix.select("Location__c", *shown, *SESSION_GRAINS)
+    located = join_on_unique(per_location, lids.drop("_created"), ["Location__c"], hot_rows, key_source=pairs)
+    spellings = located.groupBy("New_lid_all", *shown).agg(*sums)
     return (
-        matrix.groupBy("New_lid_all", *keys)
-        .agg(*[F.min(name).alias(name) for name in shown], *[F.sum(c).alias(c) for c in SESSION_GRAINS])
+        spellings.groupBy("New_lid_all", *keys)
+        .agg(*[F.min(name).alias(name) for name in shown], *sums)
         .drop(*["_key_" + name for name in shown])
     )

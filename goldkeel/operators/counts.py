@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from goldkeel.functions.text import DEFAULT_RULES, TextRules
@@ -76,13 +76,13 @@ def _keyed_counts(pairs: DataFrame, names: Sequence[str], address_mode: str, hot
     location over the cluster; the counts come back as columns of the pair.
     """
 
-    def masked(name: str) -> Column:
+    def masked(name: str) -> str:
         kept = grain_keys(name, address_mode)
-        return F.struct(
-            F.lit(name).alias("grain"), *[(F.col(k) if k in kept else F.lit(None).cast("string")).alias(k) for k in KEYS]
-        )
+        fields = [f"'{k}', {k if k in kept else 'cast(null as string)'}" for k in KEYS]
+        return f"named_struct('grain', '{name}', {', '.join(fields)})"
 
-    rows = pairs.select(*PAIR, "chart_count", F.inline(F.array(*[masked(n) for n in names])))
+    one_per_grain = F.expr(f"inline(array({', '.join(masked(n) for n in names)}))")
+    rows = pairs.select(*PAIR, "chart_count", one_per_grain)
     total = GroupTotal("total", ["grain", "Location__c", *KEYS], F.sum("chart_count"))
     rows = with_group_totals(rows, [total], PAIR, hot_rows)
     wide = rows.groupBy(*PAIR).agg(*[F.max(F.when(F.col("grain") == n, F.col("total"))).alias(n) for n in names])

@@ -8,7 +8,7 @@ all other keys are shuffled as usual, at most ``hot_rows`` of them per key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,17 +17,33 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def first_per_group(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column]) -> DataFrame:
+def first_per_group(
+    df: DataFrame, keys: Sequence[str], order: Mapping[str, Column], folded: Mapping[str, Column] | None = None
+) -> DataFrame:
     """One row per key, the first in ``order``; remaining columns break ties.
 
-    Spark turns the rank filter into a group limit before the shuffle, so each
-    map task sends at most one row per key, however large the group.
+    ``folded`` may replace key columns by the value they group under. Spark
+    turns the rank filter into a group limit before the shuffle, so each map
+    task sends at most one row per key, however large the group.
     """
-    ties = [F.col(c).asc() for c in df.columns]
-    window = Window.partitionBy(*keys).orderBy(*order, *ties)
+    folded = folded or {}
+    settled = {*(k for k in keys if k not in folded), *order}
+    ties = [F.col(c).asc() for c in df.columns if c not in settled]
+    window = Window.partitionBy(*[folded.get(k, F.col(k)) for k in keys]).orderBy(*order.values(), *ties)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def counted(df: DataFrame, by: Sequence[str], folded: Mapping[str, Column], count: str) -> DataFrame:
+    """Rows per group of folded text, showing the smallest original spelling.
+
+    Spellings are counted by hash first; only the few distinct ones are folded.
+    """
+    spellings = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count))
+    keys = {c: folded.get(c, F.col(c)).alias("_key_" + c) for c in by}
+    merged = spellings.groupBy(*keys.values()).agg(*[F.min(c).alias(c) for c in by], F.sum(count).alias(count))
+    return merged.select(*by, count)
+
+
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -69,16 +85,23 @@ def with_group_totals(
 
 
 def join_on_unique(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    key_source: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of many rows to a table with one row per key.
 
     Rows of hot keys meet their single partner by broadcast; the rest is an
-    ordinary shuffle join. Both tables name the key columns alike.
+    ordinary shuffle join. Both tables name the key columns alike. If ``left``
+    is costly, ``key_source`` may name a cheaper table with at least its rows.
     """
     keys = list(keys)
     left = left.dropna(subset=keys)
-    hot = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows).drop("_rows")
+    counted_rows = left if key_source is None else key_source.dropna(subset=keys)
+    sizes = counted_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    hot = sizes.where(F.col("_rows") > hot_rows).drop("_rows")
     hot_right = right.join(F.broadcast(hot), keys, "left_semi")
     by_broadcast = left.join(F.broadcast(hot_right), keys)
     by_shuffle = left.join(F.broadcast(hot), keys, "left_anti").join(right, keys)

@@ -178,9 +178,11 @@ def location_master(
     ``with_source`` adds the winning source id, its client and full address,
     and the number of source ids it stands for.
     """
-    golden = first_per_group(
-        candidates, ["NEW_LID_ALL"], [F.col("charts_recovered_at_loc").desc(), F.col("Location__c").asc()]
-    )
+    order = {
+        "charts_recovered_at_loc": F.col("charts_recovered_at_loc").desc(),
+        "Location__c": F.col("Location__c").asc(),
+    }
+    golden = first_per_group(candidates, ["NEW_LID_ALL"], order)
     if with_source:
         sizes = candidates.groupBy("NEW_LID_ALL").agg(F.count("SFDC_LID").alias("count_sfLid_at_NewLId"))
         golden = golden.join(sizes, "NEW_LID_ALL")

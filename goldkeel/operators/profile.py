@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldkeel.functions.text import DEFAULT_RULES, TextRules
+from goldkeel.operators.groups import counted
 from goldkeel.operators.registry import _active, _of_project
 
 SINCE = datetime.date(2015, 1, 1)
@@ -17,7 +18,8 @@ REPEATED = 10
 
 def active_project_profile(provider: DataFrame, rules: TextRules = DEFAULT_RULES) -> DataFrame:
     """Active provider rows with an NPI, counted per (client, project)."""
-    return _counted(_active(provider, rules), ["Client_Name__c", "Project_Name__c"], rules)
+    names = ["Client_Name__c", "Project_Name__c"]
+    return counted(_active(provider, rules), names, rules.keys(names), "count_recs")
 
 
 def active_providers(
@@ -41,16 +43,20 @@ def repeated_npis(
     if min_rows is None and min_projects is None:
         min_rows = REPEATED
     recent = provider.where(F.col("CreatedDate") > F.lit(since))
-    counted = recent.groupBy(rules.key(F.col("NPI__c")).alias("_npi")).agg(
+    # Counting by hash per (NPI, project) first leaves little to fold.
+    per_project = recent.groupBy("NPI__c", rules.key(F.col("Project_Name__c")).alias("_project")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    found = per_project.groupBy(rules.key(F.col("NPI__c")).alias("_npi")).agg(
         F.min("NPI__c").alias("NPI__c"),
-        F.count(F.lit(1)).alias("count_recs"),
-        F.countDistinct(rules.key(F.col("Project_Name__c"))).alias("count_projects"),
+        F.sum("_rows").alias("count_recs"),
+        F.countDistinct("_project").alias("count_projects"),
     )
     if min_rows is not None:
-        counted = counted.where(F.col("count_recs") > min_rows)
+        found = found.where(F.col("count_recs") > min_rows)
     if min_projects is not None:
-        counted = counted.where(F.col("count_projects") > min_projects)
-    return counted.drop("_npi")
+        found = found.where(F.col("count_projects") > min_projects)
+    return found.drop("_npi")
 
 
 def npi_footprint(
@@ -58,14 +64,8 @@ def npi_footprint(
     rules: TextRules = DEFAULT_RULES,
 ) -> DataFrame:
     """Rows of one NPI counted per client, or per project and client."""
-    return _counted(provider.where(rules.equals(F.col("NPI__c"), npi)), list(by), rules)
-
-
-def _counted(rows: DataFrame, by: Sequence[str], rules: TextRules) -> DataFrame:
-    grouped = rows.groupBy(*[rules.key(F.col(c)).alias("_key_" + c) for c in by])
-    return grouped.agg(*[F.min(c).alias(c) for c in by], F.count(F.lit(1)).alias("count_recs")).drop(
-        *["_key_" + c for c in by]
-    )
+    rows = provider.where(rules.equals(F.col("NPI__c"), npi))
+    return counted(rows, by, rules.keys(by), "count_recs")
 
 
 def uniqueness_check(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from goldkeel.functions.labels import DEACTIVATED, NO_RECORD
 from goldkeel.functions.labels import npi_status as npi_status_label
 from goldkeel.functions.text import DEFAULT_RULES, TextRules, display_phone
-from goldkeel.operators.groups import HOT_ROWS, first_per_group, join_on_unique
+from goldkeel.operators.groups import HOT_ROWS, counted, first_per_group, join_on_unique
 
 INACTIVE = "Inactive"
 TAXONOMY_GROUPS = [f"Healthcare_Provider_Taxonomy_Group_{i}" for i in range(1, 16)]
@@ -92,12 +92,14 @@ def provider_registry_view(
 
 def one_per_client_npi(view: DataFrame, rules: TextRules = DEFAULT_RULES) -> DataFrame:
     """One row per (client, NPI), the smallest over all columns in order."""
-    return first_per_group(view, [rules.key(F.col("Client_Name__c")), rules.key(F.col("npi_npi"))], [])
+    keys = ["Client_Name__c", "npi_npi"]
+    return first_per_group(view, keys, {}, rules.keys(keys))
 
 
 def one_per_client_project(rows: DataFrame, rules: TextRules = DEFAULT_RULES) -> DataFrame:
     """One row per (client, project), the smallest over all columns in order."""
-    return first_per_group(rows, [rules.key(F.col("Client_Name__c")), rules.key(F.col("Project_Name__c"))], [])
+    keys = ["Client_Name__c", "Project_Name__c"]
+    return first_per_group(rows, keys, {}, rules.keys(keys))
 
 
 def status_summary(
@@ -106,12 +108,8 @@ def status_summary(
     """Rows per (project, client, status)."""
     if exclude_client is not None:
         view = view.where(rules.differs(F.col("Client_Name__c"), exclude_client))
-    keys = {c: rules.key(F.col(c)).alias("_key_" + c) for c in ("Project_Name__c", "Client_Name__c")}
-    return (
-        view.groupBy(*keys.values(), "Status_of_npi")
-        .agg(*[F.min(c).alias(c) for c in keys], F.count(F.lit(1)).alias("count_recs"))
-        .select("Project_Name__c", "Client_Name__c", "Status_of_npi", "count_recs")
-    )
+    by = ["Project_Name__c", "Client_Name__c", "Status_of_npi"]
+    return counted(view, by, rules.keys(by[:2]), "count_recs")
 
 
 def providers_without_entity(

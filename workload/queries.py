@@ -143,7 +143,8 @@ def c07_retrieval_summary(b: Bindings) -> DataFrame:
 
 @query
 def c08_appointment_counts(b: Bindings) -> DataFrame:
-    return ch.appointment_counts(_links(b), b.charts)
+    rows = stage(ch.linked_charts(_links(b), b.charts), "linked")
+    return ch.appointment_counts(rows.drop("MRT_Name__c"))
 
 
 @query
@@ -191,7 +192,8 @@ def c13_chase_list(b: Bindings) -> DataFrame:
 def c13_chase_list_by_provider(b: Bindings) -> DataFrame:
     pairs = _pairs(b)
     found = lo.location_candidates(b.location, ch.retrieval_summary(pairs), "full", require_contact=True)
-    return chase_list(found, pairs, by="lid_provider")
+    matrix = stage(co.chart_count_matrix(pairs, co.SESSION_GRAINS, "full"), "matrix")
+    return chase_list(found, matrix, by="lid_provider")
 
 
 @query
