@@ -26,35 +26,42 @@ def _load_csv(
 ) -> Load:
     """Rows that fit the schema, and the lines that do not.
 
-    Every field of a line is parsed whatever columns are used later, or a bad
-    line could pass. Both parts stay lazy. The check reads only until it has seen one bad line
-    more than allowed; pass ``max_errors=None`` to skip that pass.
+    Fields are read as text and dates converted here, so whether a line is bad
+    never depends on the columns a query uses. Both parts stay lazy. The check
+    reads only until it has seen one bad line more than allowed; pass
+    ``max_errors=None`` to skip that pass.
     """
-    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    names = schema.fieldNames()
+    text = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
     try:
         lines = (
-            spark.read.schema(declared)
+            spark.read.schema(text)
             .option("header", True)
             .option("quote", '"')
             .option("escape", '"')
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
             .option("columnPruning", False)
-            .option("dateFormat", date_format)
             .csv(path)
         )
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
             raise FileNotFoundError(f"no file to load at {path}") from error
         raise
-    rows = lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    key = schema.fieldNames()[0]
-    rejects = lines.where(F.col(CORRUPT).isNotNull())
-    if max_errors is not None:
-        seen = rejects.select(key, CORRUPT).limit(max_errors + 1).collect()
-        if len(seen) > max_errors:
-            raise ValueError(f"more than {max_errors} bad rows in {path}")
-    return Load(rows, rejects.select(key, CORRUPT))
+    dates = {
+        field.name: F.try_to_timestamp(F.col(field.name), F.lit(date_format)).cast("date")
+        for field in schema
+        if isinstance(field.dataType, T.DateType)
+    }
+    bad = F.col(CORRUPT).isNotNull()
+    for name, value in dates.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    rows = lines.where(~bad).select(*[dates.get(n, F.col(n)).alias(n) for n in names])
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names))).alias(CORRUPT)
+    rejects = lines.where(bad).select(names[0], line)
+    if max_errors is not None and rejects.limit(max_errors + 1).count() > max_errors:
+        raise ValueError(f"more than {max_errors} bad rows in {path}")
+    return Load(rows, rejects)
 
 
 def load_npi_registry(
