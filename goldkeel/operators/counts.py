@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldkeel.functions.text import DEFAULT_RULES, TextRules
 from goldkeel.operators.charts import PAIR
-from goldkeel.operators.groups import HOT_ROWS, GroupTotal, with_group_totals
+from goldkeel.operators.groups import HOT_ROWS, GroupTotal, hot_groups, with_group_totals
 
 KEYS = ("key_npi", "key_tin", "key_address", "key_full_address", "key_phone")
 
@@ -95,13 +95,17 @@ def chart_count_matrix(
     address_mode: str = "lines",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Pairs with the number of charts at their location under each grain."""
+    """Pairs with the number of charts at their location under each grain.
+
+    Stage ``pairs`` first: their locations are counted before the plan is made.
+    """
     names = _names(grains)
-    sizes = pairs.groupBy("Location__c").agg(F.count(F.lit(1)).alias("_pairs"))
-    hot = F.broadcast(sizes.where(F.col("_pairs") > hot_rows).select("Location__c"))
-    cold_rows = _window_counts(pairs.join(hot, "Location__c", "left_anti"), names, address_mode)
-    hot_rows_ = _keyed_counts(pairs.join(hot, "Location__c", "left_semi"), names, address_mode, hot_rows)
-    return cold_rows.unionByName(hot_rows_)
+    hot = hot_groups(pairs, ["Location__c"], hot_rows)
+    if hot is None:
+        return _window_counts(pairs, names, address_mode)
+    by_window = _window_counts(pairs.join(hot, "Location__c", "left_anti"), names, address_mode)
+    by_key = _keyed_counts(pairs.join(hot, "Location__c", "left_semi"), names, address_mode, hot_rows)
+    return by_window.unionByName(by_key)
 
 
 def summed_counts_per_location(

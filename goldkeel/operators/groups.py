@@ -1,9 +1,12 @@
 """Building blocks that keep every task bounded when a few keys are huge.
 
-A key is *hot* when it holds more than ``hot_rows`` rows. A table of N rows has
-fewer than ``N / hot_rows`` hot keys, so a list of hot keys with one value each
-is small by construction; ``broadcast`` is used for such lists only. Rows of
-all other keys are shuffled as usual, at most ``hot_rows`` of them per key.
+A key is *hot* when it holds more than ``hot_rows`` rows. Operators first count
+the rows per key, which map tasks combine before the shuffle, and bring the
+largest keys, at most ``MAX_HOT_KEYS``, to the driver. That list only decides
+how rows travel, never which rows count: it is small enough to broadcast, and
+a table of N rows has no other key with more than ``hot_rows`` or
+``N / MAX_HOT_KEYS`` rows, whichever is more. Without hot keys, the usual
+case, the plain join or window is all that remains of the plan.
 """
 
 from __future__ import annotations
@@ -15,6 +18,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 50_000
+
+
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], hot_rows: int, aggregates: Sequence[Column] = ()
+) -> DataFrame | None:
+    """The hot keys, with aggregates over their rows, or None if there are none."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggregates).where(F.col("_rows") > hot_rows)
+    largest = sizes.orderBy(F.col("_rows").desc()).limit(MAX_HOT_KEYS).collect()
+    if not largest:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(largest, sizes.schema).drop("_rows"))
 
 
 def first_per_group(
@@ -71,16 +86,17 @@ def with_group_totals(
     """
     result = df
     for total in totals:
-        keys = list(total.keys)
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), total.aggregate.alias("_total"))
-        hot = sizes.where(F.col("_rows") > hot_rows).select(
-            *[F.col(k).alias("_key_" + k) for k in keys], "_total", F.lit(True).alias("_is_hot")
-        )
-        marked = result.join(F.broadcast(hot), _same_keys(result, hot, keys, "_key_"), "left")
+        keys, columns = list(total.keys), result.columns
+        hot = hot_groups(df, keys, hot_rows, [total.aggregate.alias("_total")])
+        if hot is None:
+            result = result.withColumn(total.name, total.aggregate.over(Window.partitionBy(*keys)))
+            continue
+        hot = hot.select(*[F.col(k).alias("_key_" + k) for k in keys], "_total", F.lit(True).alias("_is_hot"))
+        marked = result.join(hot, _same_keys(result, hot, keys, "_key_"), "left")
         spread = F.when(F.col("_is_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0))
         window = Window.partitionBy(*keys, "_spread")
         value = F.when(F.col("_is_hot"), F.col("_total")).otherwise(total.aggregate.over(window))
-        result = marked.withColumn("_spread", spread).select(*result.columns, value.alias(total.name))
+        result = marked.withColumn("_spread", spread).select(*columns, value.alias(total.name))
     return result
 
 
@@ -99,12 +115,11 @@ def join_on_unique(
     """
     keys = list(keys)
     left = left.dropna(subset=keys)
-    counted_rows = left if key_source is None else key_source.dropna(subset=keys)
-    sizes = counted_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.where(F.col("_rows") > hot_rows).drop("_rows")
-    hot_right = right.join(F.broadcast(hot), keys, "left_semi")
-    by_broadcast = left.join(F.broadcast(hot_right), keys)
-    by_shuffle = left.join(F.broadcast(hot), keys, "left_anti").join(right, keys)
+    hot = hot_groups(left if key_source is None else key_source.dropna(subset=keys), keys, hot_rows)
+    if hot is None:
+        return left.join(right, keys)
+    by_broadcast = left.join(F.broadcast(right.join(hot, keys, "left_semi")), keys)
+    by_shuffle = left.join(hot, keys, "left_anti").join(right, keys)
     return by_shuffle.unionByName(by_broadcast)
 
 

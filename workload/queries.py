@@ -192,7 +192,8 @@ def c13_chase_list(b: Bindings) -> DataFrame:
 def c13_chase_list_by_provider(b: Bindings) -> DataFrame:
     pairs = _pairs(b)
     found = lo.location_candidates(b.location, ch.retrieval_summary(pairs), "full", require_contact=True)
-    matrix = stage(co.chart_count_matrix(pairs, co.SESSION_GRAINS, "full"), "matrix")
+    narrow = pairs.select(*ch.PAIR, "chart_count", "NPI__c", "TIN_ID__c", "FULL_ADDRESS", "Phone_Number__c", *co.KEYS)
+    matrix = stage(co.chart_count_matrix(narrow, co.SESSION_GRAINS, "full").drop(*co.KEYS), "matrix")
     return chase_list(found, matrix, by="lid_provider")
 
 
