@@ -117,13 +117,11 @@ def summed_counts_per_location(
     two aggregations suffice and no pair row has to meet its group again.
     """
     names = _names(grains)
-    distinct = pairs.groupBy("Location__c", *KEYS).agg(
-        F.sum("chart_count").alias("_charts"), F.count(F.lit(1)).alias("_pairs")
-    )
     sets = [[F.col("Location__c"), *[F.col(k) for k in grain_keys(n, address_mode)]] for n in names]
     group_id = {n: _grouping_id(grain_keys(n, address_mode)) for n in names}
-    grouped = distinct.groupingSets(sets, F.col("Location__c"), *[F.col(k) for k in KEYS]).agg(
-        F.grouping_id().alias("_grain"), (F.sum("_charts") * F.sum("_pairs")).alias("_product")
+    product = F.sum("chart_count") * F.count(F.lit(1))
+    grouped = pairs.groupingSets(sets, F.col("Location__c"), *[F.col(k) for k in KEYS]).agg(
+        F.grouping_id().alias("_grain"), product.alias("_product")
     )
     return grouped.groupBy("Location__c").agg(
         *[F.sum(F.when(F.col("_grain") == group_id[n], F.col("_product"))).alias(n) for n in names]

@@ -33,9 +33,14 @@ def hot_groups(
 
 
 def first_per_group(
-    df: DataFrame, keys: Sequence[str], order: Mapping[str, Column], folded: Mapping[str, Column] | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Mapping[str, Column],
+    folded: Mapping[str, Column] | None = None,
+    total_order: bool = False,
 ) -> DataFrame:
-    """One row per key, the first in ``order``; remaining columns break ties.
+    """One row per key, the first in ``order``; remaining columns break ties
+    unless the order is total already.
 
     ``folded`` may replace key columns by the value they group under. Spark
     turns the rank filter into a group limit before the shuffle, so each map
@@ -43,7 +48,7 @@ def first_per_group(
     """
     folded = folded or {}
     settled = {*(k for k in keys if k not in folded), *order}
-    ties = [F.col(c).asc() for c in df.columns if c not in settled]
+    ties = [] if total_order else [F.col(c).asc() for c in df.columns if c not in settled]
     window = Window.partitionBy(*[folded.get(k, F.col(k)) for k in keys]).orderBy(*order.values(), *ties)
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
@@ -56,7 +61,9 @@ def counted(df: DataFrame, by: Sequence[str], folded: Mapping[str, Column], coun
     spellings = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count))
     keys = {c: folded.get(c, F.col(c)).alias("_key_" + c) for c in by}
     merged = spellings.groupBy(*keys.values()).agg(*[F.min(c).alias(c) for c in by], F.sum(count).alias(count))
-    return merged.select(*by, count)
+    # Always true; it keeps the counts, and with them the first step, in plans
+    # that only use the names.
+    return merged.where(F.col(count) > 0).select(*by, count)
 
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:

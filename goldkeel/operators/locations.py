@@ -182,7 +182,7 @@ def location_master(
         "charts_recovered_at_loc": F.col("charts_recovered_at_loc").desc(),
         "Location__c": F.col("Location__c").asc(),
     }
-    golden = first_per_group(candidates, ["NEW_LID_ALL"], order)
+    golden = first_per_group(candidates, ["NEW_LID_ALL"], order, total_order=True)
     if with_source:
         sizes = candidates.groupBy("NEW_LID_ALL").agg(F.count("SFDC_LID").alias("count_sfLid_at_NewLId"))
         golden = golden.join(sizes, "NEW_LID_ALL")

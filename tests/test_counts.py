@@ -80,3 +80,21 @@ def test_spot_check(spark):
     got = chart_counts_at(df, npi="7", tin="T", address="a ", phone="5")
     assert [r[-2:] for r in rows(got)] == [(2, 5), (2, 5)]
     assert chart_counts_at(df, npi="7", limit=1).count() == 1
+
+
+@pytest.mark.parametrize("hot_rows", [0, 40])
+def test_hot_locations_change_no_chase_list(spark, hot_rows):
+    from goldkeel.operators import charts as ch
+    from goldkeel.operators.chase import chase_list
+    from goldkeel.operators.locations import location_candidates
+    from goldkeel.session import stage
+    from goldkeel.sources.bindings import Bindings
+
+    b = Bindings(spark, "/root/testdata/sf0.001")
+    links = ch.provider_locations(ch.select_projects(b.provider), b.junction)
+    pairs = stage(ch.pair_counts(links, b.charts, b.provider), "pairs")
+    found = stage(location_candidates(b.location, ch.retrieval_summary(pairs)), "candidates")
+    usual = chase_list(found, pairs, by="lid_provider")
+    assert rows(chase_list(found, pairs, by="lid_provider", hot_rows=hot_rows)) == rows(usual)
+    plain = ch.qualifying_charts(links, b.charts, b.provider)
+    assert rows(ch.qualifying_charts(links, b.charts, b.provider, hot_rows=1).select(*plain.columns)) == rows(plain)

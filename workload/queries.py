@@ -231,7 +231,8 @@ def c17_unmaster_archived_map(b: Bindings) -> DataFrame:
 
 @query
 def c17_unmaster_control(b: Bindings) -> DataFrame:
-    return st.unmaster_project(_control(b), _upsert(b).target, PROJECT_A, CLIENT_A).control
+    projects = ch.select_projects(b.provider).withColumnRenamed("Project_Name__c", "Project_Name")
+    return st.unmaster_project(_control(b), projects, PROJECT_A, CLIENT_A).control
 
 
 def _job(b: Bindings, *steps: tuple[str, str]) -> DataFrame:
