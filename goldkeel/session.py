@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -35,6 +36,11 @@ def get_session(app: str = "goldkeel", master: str | None = None, **settings: st
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="goldkeel-")
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the shared one named by ``spark.checkpoint.dir``.
 
@@ -44,8 +50,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="goldkeel-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
