@@ -141,8 +141,8 @@ def merge_reduction(candidates: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(merged, F.col("_size"))), F.lit(0)).alias("rows_in_merged_groups"),
         F.count(F.when(merged, 1)).alias("merged_groups"),
     )
-    locations = candidates.agg(F.countDistinct("Location__c").alias("distinct_locations"))
-    return per_kind.crossJoin(F.broadcast(locations)).select(
+    locations = rows.groupBy("id_kind").agg(F.countDistinct("Location__c").alias("distinct_locations"))
+    return per_kind.join(locations, "id_kind").select(
         "id_kind",
         "row_count",
         "distinct_locations",

@@ -91,15 +91,11 @@ def register_project(
 ) -> DataFrame:
     """The new control row: none if registered already, or if a given junction
     has no rows of the project. Its key follows the largest one in use."""
-    same = mastered_list(control, project, system, master, rules)
-    row = control.agg(
-        F.coalesce(F.max("MasteredProjetsListKey"), F.lit(0)).alias("_last")
-    ).select(*_control_row(F.col("_last") + 1, master, system, project))
-    row = row.join(same.select(F.lit(1).alias("_one")).limit(1), how="left_anti", on=F.lit(True))
-    if junction is not None:
-        linked = junction_rows(junction, project, rules).select(F.lit(1).alias("_one")).limit(1)
-        row = row.join(linked, how="left_semi", on=F.lit(True))
-    return row
+    last = F.coalesce(F.max("MasteredProjetsListKey"), F.lit(0)).alias("_last")
+    row = control.agg(last).select(*_control_row(F.col("_last") + 1, master, system, project))
+    known = not mastered_list(control, project, system, master, rules).isEmpty()
+    unlinked = junction is not None and junction_rows(junction, project, rules).isEmpty()
+    return row.limit(0) if known or unlinked else row
 
 
 def mastered_list(
