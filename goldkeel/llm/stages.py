@@ -18,12 +18,18 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     id; of rows that repeat an id, the one with the smallest text and columns.
     Rows without an id are in no group and stay."""
     found = simhash.near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi")
+    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"))
+    chosen = docs.join(kept, "doc_id")
     rest = [c for c in docs.columns if c != "doc_id"]
     first = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_first")
-    one = chosen.groupBy("doc_id").agg(first).select("doc_id", *[F.col(f"_first.`{c}`") for c in rest])
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.where("doc_id is null"))
+    repeated = chosen.where("_times > 1").groupBy("doc_id").agg(first)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return (
+        chosen.where("_times = 1")
+        .select(*names)
+        .unionByName(repeated.select("doc_id", *[F.col(f"_first.`{c}`") for c in rest]).select(*names))
+        .unionByName(docs.where("doc_id is null"))
+    )
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
