@@ -45,7 +45,8 @@ def encode_short(column: Column, ranks: str, pattern: str) -> Column:
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(symbols).astype(np.int32)))
             yield pa.ListArray.from_arrays(lists.offsets, lists.values, mask=batch.is_null())
 
-    return encoded(column)
+    # Used more than once, it would be worked out anew for each use.
+    return encoded.asNondeterministic()(column)
 
 
 def _read_chunks(chunks: DataFrame, ranks: str, pattern: str) -> DataFrame:
