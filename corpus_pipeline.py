@@ -13,7 +13,10 @@ from goldkeel.session import scratch_folder
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", stages.drop_toxic),
     ("simhash_near_dedup", stages.one_of_each_group),
+    ("benchmark_decontamination", stages.drop_contaminated),
+    ("pii", stages.mask_personal_data),
     ("byte_bpe", stages.encode_tokens),
 ]
 

@@ -10,7 +10,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldkeel.llm import byte_bpe, simhash
+from goldkeel.llm import byte_bpe, decontaminate, pii, simhash, toxicity
+from goldkeel.llm.common import table
+
+
+def _columns(docs: DataFrame) -> list:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keep documents that score below the threshold."""
+    model = toxicity.learn(toxicity.training_rows(docs, table(spark, folder, "labels")))
+    scored = docs.withColumn("_toxicity", toxicity.toxicity(F.col("text"), model))
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*_columns(docs))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keep documents that hold no benchmark passage."""
+    found = decontaminate.with_matches(docs, table(spark, folder, "benchmark"), "_matches")
+    return found.where(F.size("_matches") == 0).select(*_columns(docs))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Keep all documents, personal data in their texts replaced by marks.
+    ``n_chars`` is that of the new text."""
+    clean = pii.masked(docs)
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+    return clean.select(*_columns(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -23,7 +51,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     rest = [c for c in docs.columns if c != "doc_id"]
     first = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_first")
     repeated = chosen.where("_times > 1").groupBy("doc_id").agg(first)
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    names = _columns(docs)
     return (
         chosen.where("_times = 1")
         .select(*names)
