@@ -148,7 +148,8 @@ def _count_terms(rows: DataFrame) -> DataFrame:
                 found |= {f" {w} " for w in words if len(w) <= 40}
                 counts[int(label)].update(found)
         terms = list(counts[0].keys() | counts[1].keys())
-        yield pd.DataFrame({"term": terms, "toxic": [counts[1][t] for t in terms], "clean": [counts[0][t] for t in terms]})
+        if terms:
+            yield pd.DataFrame({"term": terms, "toxic": [counts[1][t] for t in terms], "clean": [counts[0][t] for t in terms]})
 
     return rows.mapInPandas(run, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
@@ -187,9 +188,10 @@ def _count_phrases(rows: DataFrame, terms: dict[str, float]) -> DataFrame:
                     found.update(f" {a} {b} " for a, b in zip(after[:1], after[1:], strict=False))
                 counts[int(label)].update(found)
         phrases = list(counts[0].keys() | counts[1].keys())
-        yield pd.DataFrame(
-            {"term": phrases, "toxic": [counts[1][p] for p in phrases], "clean": [counts[0][p] for p in phrases]}
-        )
+        if phrases:
+            yield pd.DataFrame(
+                {"term": phrases, "toxic": [counts[1][p] for p in phrases], "clean": [counts[0][p] for p in phrases]}
+            )
 
     return rows.mapInPandas(run, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
