@@ -10,6 +10,7 @@ one place at a time: a symbol made by a merge only enters pairs that rank later.
 from __future__ import annotations
 
 import base64
+import functools
 import json
 
 import numpy as np
@@ -34,9 +35,11 @@ class Merges:
         self.keys, self.ranks, self.merged = keys[order], values[:, 0], values[:, 1]
 
     @classmethod
+    @functools.cache
     def from_ranks(cls, path: str) -> Merges:
         """From lines of a token in base 64 and its rank; the rank is the id.
-        Two symbols merge whenever their bytes together are a token."""
+        Two symbols merge whenever their bytes together are a token. A process
+        reads a file once."""
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         pairs = {}
@@ -50,6 +53,7 @@ class Merges:
         return cls(np.array([ranks[bytes([b])] for b in range(256)], np.int64), pairs, spellings)
 
     @classmethod
+    @functools.cache
     def from_json(cls, path: str) -> Merges:
         """From a vocabulary and an ordered list of merges in byte-level letters."""
         with open(path, encoding="utf-8") as file:
