@@ -140,8 +140,8 @@ def encode(
     short = whole.where(~is_long).withColumn(to, encode_short(F.col("_whole"), ranks, pattern)).drop("_whole")
     keyed = whole.where(is_long).withColumn("_key", F.sha2("_whole", 256))
     texts = keyed.groupBy(F.col("_key").alias("key")).agg(F.first("_whole").alias("text"))
-    found = _encode_long(texts, ranks, pattern, step, overlap)
-    long = keyed.join(found.withColumnRenamed("ids", "_ids"), F.col("_key") == F.col("key"))
+    found = _encode_long(texts, ranks, pattern, step, overlap).toDF("_key", "_ids")
+    long = keyed.join(found, "_key")
     kept = [F.col(f"`{c}`") for c in docs.columns]
     return short.select(*kept, to).unionByName(long.select(*kept, F.col("_ids").alias(to)))
 
