@@ -1,0 +1,180 @@
+"""SimHash and embedding groups against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+
+from goldkeel.llm import embeddings, queries, simhash
+from goldkeel.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+
+
+class Groups:
+    def __init__(self, nodes):
+        self.up = {n: n for n in nodes}
+
+    def root(self, n):
+        while self.up[n] != n:
+            n = self.up[n]
+        return n
+
+    def link(self, a, b):
+        a, b = self.root(a), self.root(b)
+        self.up[max(a, b)] = min(a, b)
+
+
+def test_components(spark):
+    dice = random.Random(1)
+    links = [(dice.randrange(400), dice.randrange(400)) for _ in range(300)]
+    links += [(1000 + i, 1001 + i) for i in range(90)] + [(5, 5), (None, 3)]
+    groups = Groups(range(2000))
+    for a, b in links:
+        if a is not None:
+            groups.link(a, b)
+    got = dict(connected_components(spark.createDataFrame(links, "a long, b long")).collect())
+    for node in range(2000):
+        assert got.get(node, node) == groups.root(node)
+
+
+def test_components_of_no_links(spark):
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_fingerprint_by_definition():
+    text = "  The quick\tBROWN fox É jumps\x0bover the quick brown fox É "
+    words = "the quick brown fox É jumps over the quick brown fox É".split(" ")
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 4]).encode(), 42) for i in range(len(words) - 3)]
+    expected = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    assert simhash.simhash(text) == expected
+    assert simhash.simhash("One two") == xxhash.xxh64_intdigest(b"one two", 42)
+    assert simhash.simhash(None) == simhash.simhash(" \n") == 0
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    text = " ".join(str(i % 97) for i in range(1000))
+    whole = simhash.simhash(text)
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    assert simhash.simhash(text) == whole
+
+
+def test_every_word_has_one_code_word_within_the_radius():
+    words = np.random.default_rng(1).integers(0, 1 << 23, 3000)
+    index, _ = simhash.GolayAnchors(2).near(words, 0)
+    assert index.tolist() == list(range(3000))
+
+
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4])
+def test_partners_share_an_anchor(bits):
+    dice = np.random.default_rng(2)
+    code = simhash.GolayAnchors(2)
+    fps = dice.integers(-(1 << 62), 1 << 62, 400)
+    others = fps.copy()
+    for i in range(400):
+        for b in dice.choice(64, bits, replace=False):
+            others[i] ^= np.int64(np.uint64(1) << np.uint64(b))
+    (i, a), (j, b) = simhash.anchors_of(code, fps, 2), simhash.anchors_of(code, others, 2)
+    left, right = {}, {}
+    for k, x in zip(i, a, strict=True):
+        left.setdefault(int(k), set()).add(int(x))
+    for k, x in zip(j, b, strict=True):
+        right.setdefault(int(k), set()).add(int(x))
+    assert all(left[k] & right[k] for k in range(400))
+
+
+def near_texts():
+    dice = random.Random(3)
+    base = [" ".join(dice.choice("abcdefghij") * 2 for _ in range(60)) for _ in range(12)]
+    rows = []
+    for text in base:
+        words = text.split()
+        for _ in range(12):
+            changed = list(words)
+            changed[dice.randrange(60)] = "zz"
+            rows.append(" ".join(changed))
+    return rows + base + base[:3] + [None, "", "one"]
+
+
+@pytest.mark.parametrize("block", [4096, 4])
+def test_groups_equal_brute_force(spark, block):
+    texts = near_texts()
+    rows = [(i * 7 % 1000, t, -1, "u") for i, t in enumerate(texts)] + [(0, texts[0], -1, "u"), (None, texts[0], 0, "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp int, component_id string")
+    got = simhash.near_duplicates(docs, block=block).collect()
+    assert len(got) == len(rows)
+    named = [(r[0], simhash.simhash(r[1])) for r in rows if r[0] is not None]
+    groups = Groups({i for i, _ in named})
+    for i, x in named:
+        for j, y in named:
+            if (x ^ y).bit_count() <= 4:
+                groups.link(i, j)
+    assert sum(groups.root(i) != i for i, _ in named) > 20
+    for row in got:
+        assert row.component_id == (None if row.doc_id is None else groups.root(row.doc_id))
+
+
+def test_query_of_fingerprints(spark):
+    texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    got = queries.op7_simhash_near_duplicates(spark, SF).collect()
+    assert {r.doc_id: r.fingerprint for r in got} == {i: f"{simhash.simhash(t):016x}" for i, t in texts.items()}
+
+
+def test_no_documents(spark):
+    assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def brute_vectors(rows, cosine):
+    usable = [
+        (n, i, np.array(v, float), label)
+        for n, (i, v, label) in enumerate(rows)
+        if i is not None and v is not None and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
+    groups, links = Groups({r[0] for r in rows if r[0] is not None}), {}
+    for n, i, x, label in usable:
+        for m, j, y, other in usable:
+            if n != m and label == other and len(x) == len(y):
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= cosine:
+                    links[n] = links.get(n, 0) + 1
+                    groups.link(i, j)
+    expected = []
+    for n, (i, _, _) in enumerate(rows):
+        component = None if i is None else groups.root(i)
+        expected.append((i, links.get(n, 0), component, i is not None and component == i))
+    return sorted(expected, key=repr)
+
+
+def vectors():
+    dice = np.random.default_rng(4)
+    rows = []
+    for group in range(25):
+        base = dice.normal(size=8)
+        for _ in range(1 + group % 6):
+            rows.append((len(rows), (base + dice.normal(size=8) * 0.12).tolist(), group % 3))
+    one = rows[0][1]
+    rows += [(500, one, 0), (500, one, 0), (501, [3 * x for x in one], 0), (502, one, None), (None, one, 0), (503, None, 0)]
+    rows += [(504, [0.0] * 8, 1), (505, [float("nan"), *one[1:]], 0), (506, [None, *one[1:]], 0), (507, [], 0)]
+    return rows + [(508, [float("inf")] * 8, 0), (509, one[:4], 0), (510, one[:4], 0), (511, [-x for x in one], 0)]
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_vectors_equal_brute_force(spark, block):
+    rows = [(i, v, label) for i, v, label in vectors()]
+    clash = [(*r, 1, "kept") for r in rows]
+    df = spark.createDataFrame(clash, "vec_id long, embedding array<double>, label int, n_links int, kept string")
+    got = embeddings.near_duplicates(df, cosine=0.98, block=block).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_vectors(rows, 0.98)
+
+
+def test_query_of_vectors_equals_brute_force(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    got = queries.op8_embedding_near_duplicates(spark, SF).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_vectors(rows, 0.98)
+
+
+def test_no_vectors(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embeddings.near_duplicates(none).count() == 0
+    nulls = spark.createDataFrame([(1, None, 1)], "vec_id long, embedding array<float>, label int")
+    assert [tuple(r) for r in embeddings.near_duplicates(nulls).collect()] == [(1, 0, 1, True)]
