@@ -36,7 +36,8 @@ NEUTRAL = INLINE | frozenset(
     "html body div section p table caption tr td th tbody thead tfoot ul ol li dl dt dd h1 h2 h3 h4 h5 h6 blockquote"
     " pre figure figcaption hr address details summary".split()
 )
-HEADED = frozenset("article main h1".split())  # what only content holds
+CONTAINERS = frozenset("article main".split())
+HEADED = CONTAINERS | {"h1"}  # what only content holds
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/)?(?P<name>[a-zA-Z][^\s/>]*+)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<[!?][^>]*>|(?P<endless></?[a-zA-Z])",
@@ -123,9 +124,9 @@ def pieces(page: str) -> Iterator[Piece]:
                     break
             if changed:
                 around = tuple(e for e in stack if e.features)
-            yield Piece(tag="/" + name)
+            yield Piece(tag="/" + name, around=around)
             continue
-        yield Piece(tag=name)
+        yield Piece(tag=name, around=around)
         if name in RAW:
             end = CLOSING[name].search(page, at)
             at = end.start() if end else len(page)
@@ -186,41 +187,47 @@ def learn(pages: list[list[tuple[str, bool]]]) -> Weights:
 
 
 WEIGHTS = learn(PAGES)
+WITHIN = 0.01  # share of its cost that a tag or furniture has within content
 OTHER_TAG = -0.5  # a tag the labelled pages don't have
 
 
 def scores(page: str, weights: Weights) -> list[tuple[Piece, float]]:
     """Each piece with its score: a text's is that of all its words."""
     out = []
-    known: dict[int, float] = {}
+    known: dict[int, tuple[float, bool]] = {}
     for piece in list(pieces(page)):
-        if piece.tag:
-            out.append((piece, weights.tag.get(piece.tag, OTHER_TAG)))
-            continue
         key = id(piece.around)
         if key not in known:
             known[key] = _word_score(piece.around, weights)
-        out.append((piece, known[key] * len(piece.text.split())))
+        word, within = known[key]
+        if piece.tag:
+            cost = weights.tag.get(piece.tag, OTHER_TAG)
+            out.append((piece, cost * WITHIN if within else cost))
+        else:
+            out.append((piece, word * len(piece.text.split())))
     return out
 
 
-def _word_score(around: tuple[Element, ...], weights: Weights) -> float:
-    """Score of a word. Of the elements around it, one that says furniture
-    makes it negative, else the surest content element raises it.
+def _word_score(around: tuple[Element, ...], weights: Weights) -> tuple[float, bool]:
+    """Score of a word, and whether it is within a content element. Of the
+    elements around it, one that says furniture makes it negative, else the
+    surest content element raises it.
 
+    Furniture within content weighs little, so that the region goes across it.
     A heading area within an article is part of it, one outside is not.
     """
-    lowest, highest, content = 0.0, 0.0, False
+    lowest, highest, article, within = 0.0, 0.0, False, False
     for element in around:
         total = 0.0
         for feature in element.features:
             weight = weights.within.get(feature, 0.0)
-            if weight < 0 and (feature[0] == "." and element.holds or feature == "header" and content):
+            if weight < 0 and (feature[0] == "." and element.holds or feature == "header" and article):
                 continue
             total += weight
-        lowest, highest = min(lowest, total), max(highest, total)
-        content = content or element.name in HEADED
-    return lowest if lowest < 0 else weights.word + highest / 2
+        lowest, highest = min(lowest, total * WITHIN if within else total), max(highest, total)
+        article = article or element.name in CONTAINERS
+        within = within or article or total > 1
+    return (lowest, within) if lowest < 0 else (weights.word + highest / 2, within)
 
 
 def best_region(values: list[float]) -> tuple[int, int]:
