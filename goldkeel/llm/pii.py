@@ -140,7 +140,7 @@ def _spans(text: Column, kind: Kind, matches: Column) -> Column:
     return F.when(F.size(matches) > 0, F.aggregate(around, begin, step, lambda acc: acc["found"])).otherwise(none)
 
 
-def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+def with_spans(docs: DataFrame, text: str = "text", base_name: str = "base_spans", name: str = "spans") -> DataFrame:
     """Add ``base_spans`` and ``spans``, arrays of (kind, start, end, score).
 
     Base spans are the confirmed emails, addresses, cards and phones, by kind
@@ -160,7 +160,7 @@ def with_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     base = F.concat(*[F.col(f"_{k.name}") for k in BASE])
     more = F.filter(F.concat(*[F.col(f"_{k.name}") for k in MORE]), lambda s: s["score"] >= ACCEPT)
     kept = [F.col(f"`{c}`") for c in docs.columns]
-    return found.select(*kept, base.alias("base_spans"), F.concat(base, more).alias("spans"))
+    return found.select(*kept, base.alias(base_name), F.concat(base, more).alias(name))
 
 
 def _count(spans: str, kind: str) -> Column:
@@ -194,8 +194,8 @@ def masked(docs: DataFrame, text: str = "text", passes: int = 2) -> DataFrame:
 
 
 def _masked_once(docs: DataFrame, text: str) -> DataFrame:
-    found = with_spans(docs, text)
-    ordered = F.array_sort("spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(0))
+    found = with_spans(docs, text, "_base_spans", "_spans")
+    ordered = F.array_sort("_spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(0))
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
 
     def step(acc: Column, span: Column) -> Column:
@@ -208,5 +208,5 @@ def _masked_once(docs: DataFrame, text: str) -> DataFrame:
     rest = lambda acc: F.array_join(
         F.concat(acc["parts"], F.array(F.substring(F.col(text), acc["at"] + 1, F.length(text)))), ""
     )
-    clean = F.when(F.size("spans") > 0, F.aggregate(ordered, start, step, rest)).otherwise(F.col(text))
+    clean = F.when(F.size("_spans") > 0, F.aggregate(ordered, start, step, rest)).otherwise(F.col(text))
     return found.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns])

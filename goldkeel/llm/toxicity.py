@@ -27,7 +27,7 @@ from goldkeel.llm.common import fold_of, sampled
 # What the first string's letters are mistaken for, one by one.
 CYRILLIC = ("абеіјкмносрѕтухвԁһ", "abeijkmhocpstyxbdh")
 GREEK = ("αβεικνορτυχγ", "abeiknoptuxy")
-SIGNS = ("013457@$!", "oieastasi")
+SIGNS = ("013457@$", "oieastas")
 
 SHORTEST, LONGEST = 3, 8  # letters of a word beginning
 LEAST_Z = 2.6  # a term's log odds over its standard error
