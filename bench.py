@@ -20,14 +20,18 @@ from workload.queries import QUERIES  # noqa: E402
 
 HEADLINES = [
     "c02_provider_locations",
+    "c03_qualifying_charts",
     "c05_chart_count_matrix",
     "c06_classify_retrieval",
     "c07_retrieval_summary",
+    "c08_appointment_counts",
     "c11_merge_report",
     "c12_location_master",
     "c13_chase_list",
     "c13_chase_list_by_provider",
     "c14_accumulate_chase_list",
+    "c18_master_projects",
+    "c19_load_npi_registry",
     "c22_provider_registry_view",
     "c24_status_summary",
     "c26_repeated_npis_by_projects",

@@ -32,7 +32,19 @@ class TextRules:
         return F.lit(value if self.case_sensitive else value.lower())
 
     def equals(self, col: Column, value: str) -> Column:
-        return self.key(col) == self.literal(value)
+        """Equality under the rules, with plain bounds that reach the reader.
+
+        Every spelling of an ASCII value lies between its upper case and its
+        lower case followed by ``!``, the first sign after a blank. A stored
+        value with a letter outside ASCII whose lower case is within, like the
+        Kelvin sign, does not equal the ASCII value.
+        """
+        same = self.key(col) == self.literal(value)
+        if not value.isascii() or self == EXACT:
+            return same
+        bare = value.rstrip(" ") if self.ignore_trailing_blanks else value
+        low, high = (bare, bare) if self.case_sensitive else (bare.upper(), bare.lower())
+        return (col >= F.lit(low)) & (col < F.lit(high + "!")) & same
 
     def differs(self, col: Column, value: str) -> Column:
         """NULL stays NULL, so a filter on this drops NULL rows."""

@@ -20,12 +20,10 @@ from goldkeel.functions.text import (
 )
 from goldkeel.operators.groups import (
     HOT_ROWS,
-    GroupTotal,
     broadcast_if_small,
     counted,
     first_per_group,
     join_on_unique,
-    with_group_totals,
 )
 
 # Codes of a released, quality-passed, not replicated chart.
@@ -34,7 +32,9 @@ STATUS = "REL"
 REPLICA = "Replication"
 
 PAIR = ["Location__c", "Provider__c"]
+NO_TYPE = "\0"  # stands for a missing appointment type, which groups like any other
 MAX_BROADCAST_PROJECTS = 100_000
+MAX_BROADCAST_LINKS = 500_000
 
 
 def select_projects(
@@ -72,11 +72,24 @@ def provider_locations(
         *PAIR, "CreatedDate", "LastModifiedDate", rules.key(F.col("Project_Name__c")).alias("_project")
     )
     links = links.join(broadcast_if_small(names, max_broadcast_projects), "_project", "left_semi").drop("_project")
-    # Smallest (modified, created) per pair, NULL first: an aggregate, so copies
-    # of a pair shrink to one row per map task.
-    first = links.groupBy(*PAIR).agg(F.min(F.struct("LastModifiedDate", "CreatedDate")).alias("_first"))
-    record_date = effective_date(F.col("_first.LastModifiedDate"), F.col("_first.CreatedDate"))
-    return first.select(*PAIR, record_date.alias("plj_record_date"))
+    # Smallest (modified, created) per pair, NULL first, in two steps that both
+    # aggregate by hash: copies of a pair shrink within map tasks, unsorted.
+    dated = links.groupBy(*PAIR, "LastModifiedDate").agg(_least_or_null(F.col("CreatedDate")).alias("_created"))
+    blank = F.col("LastModifiedDate").isNull()
+    first = dated.groupBy(*PAIR).agg(
+        F.max(blank).alias("_blank"),
+        F.max(F.when(blank, F.col("_created"))).alias("_of_blank"),
+        F.min("LastModifiedDate").alias("_modified"),
+        F.min_by("_created", "LastModifiedDate").alias("_of_modified"),
+    )
+    modified = F.when(~F.col("_blank"), F.col("_modified"))
+    created = F.when(F.col("_blank"), F.col("_of_blank")).otherwise(F.col("_of_modified"))
+    return first.select(*PAIR, effective_date(modified, created).alias("plj_record_date"))
+
+
+def _least_or_null(col: Column) -> Column:
+    """The smallest value of a group, NULL counting as smaller than any."""
+    return F.when(F.max(col.isNull()), F.lit(None)).otherwise(F.min(col))
 
 
 def contact_keys(provider: DataFrame, strip_country: bool = False) -> DataFrame:
@@ -173,13 +186,18 @@ def pair_counts(
     status: str = STATUS,
     exclude_mrt: str = REPLICA,
     rules: TextRules = DEFAULT_RULES,
+    max_broadcast_links: int | None = None,
 ) -> DataFrame:
     """Qualifying charts counted per (location, provider), with its match keys.
 
     Nearly everything downstream is constant within such a pair, so charts are
-    scanned once and counted before any join.
+    scanned once and counted before any join. For the links of a few projects
+    give ``max_broadcast_links`` and staged links: if there are no more, charts
+    of other pairs are left out before they are classified or move.
     """
     passing = passing_charts(charts, disposition, status, exclude_mrt, rules).select(*PAIR, "Id", "MRT_Name__c")
+    if max_broadcast_links is not None and links.limit(max_broadcast_links + 1).count() <= max_broadcast_links:
+        passing = passing.join(F.broadcast(links.select(*PAIR)), PAIR, "left_semi")
     typed = classify_retrieval(passing, rules)
     per_pair = typed.groupBy(*PAIR).agg(
         F.count("Id").alias("chart_count"),
@@ -222,13 +240,20 @@ def appointment_counts(
     rows: DataFrame, rules: TextRules = DEFAULT_RULES, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Chart rows with the rows at their location and the charts of their
-    appointment type there. Stage ``rows``: they are read three times."""
-    typed = rows.withColumn("_type", rules.key(F.col("Appointment_Type__c")))
-    totals = [
-        GroupTotal("countOfChartsAtLocationbyAppointmentType", ["Location__c", "_type"], F.count("chart_id")),
-        GroupTotal("provider_charts_at_loc", ["Location__c"], F.count("Provider__c")),
-    ]
-    return with_group_totals(typed, totals, ["Provider__c", "chart_id"], hot_rows).drop("_type")
+    appointment type there.
+
+    Rows are counted per location and type, and these few counts summed to
+    locations; both are attached to the rows by one join. Rows of hot
+    locations meet theirs by broadcast.
+    """
+    typed = rows.withColumn("_type", F.coalesce(rules.key(F.col("Appointment_Type__c")), F.lit(NO_TYPE)))
+    keys = ["Location__c", "_type"]
+    per_type = typed.groupBy(*keys).agg(
+        F.count("chart_id").alias("countOfChartsAtLocationbyAppointmentType"), F.count("Provider__c").alias("_rows")
+    )
+    per_location = per_type.groupBy("Location__c").agg(F.sum("_rows").alias("provider_charts_at_loc"))
+    totals = per_type.drop("_rows").join(per_location, "Location__c")
+    return join_on_unique(typed, totals, keys, hot_rows).select(*rows.columns, *totals.columns[2:])
 
 
 def first_row_per_location(rows: DataFrame) -> DataFrame:
@@ -241,6 +266,16 @@ def latest_chart_per_pair(rows: DataFrame) -> DataFrame:
     return first_per_group(rows, PAIR, {"chart_date": F.col("chart_date").desc_nulls_last()})
 
 
-def sorted_report(df: DataFrame, order: Sequence[str | int]) -> DataFrame:
-    """Order a final report by column names or 1-based positions."""
-    return df.orderBy(*[df.columns[o - 1] if isinstance(o, int) else o for o in order])
+def sorted_report(df: DataFrame, order: Sequence[str | int | Column]) -> DataFrame:
+    """Order a final report, ascending, by column names or 1-based positions;
+    by a negative position or a name after ``-``, descending; or by an
+    expression with the direction it has."""
+    return df.orderBy(*[_ordering(df, o) for o in order])
+
+
+def _ordering(df: DataFrame, by: str | int | Column) -> Column:
+    if isinstance(by, Column):
+        return by
+    if isinstance(by, int):
+        by = ("-" if by < 0 else "") + df.columns[abs(by) - 1]
+    return F.col(by[1:]).desc() if by.startswith("-") else F.col(by).asc()

@@ -60,13 +60,32 @@ def _names(grains: Sequence[str] | None) -> list[str]:
 
 
 def _window_counts(pairs: DataFrame, names: Sequence[str], address_mode: str) -> DataFrame:
-    """All counts by windows after a single exchange on the location."""
-    co_located = pairs.repartition("Location__c")
-    sums = {
-        name: F.sum("chart_count").over(Window.partitionBy("Location__c", *grain_keys(name, address_mode)))
-        for name in names
-    }
-    return co_located.withColumns(sums)
+    """All counts by windows after a single exchange on the location.
+
+    The windows of a chain partition by more and more of the same columns and
+    order by the rest, so that one sort serves them all.
+    """
+    counted = pairs.repartition("Location__c")
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    for chain in _chains({name: grain_keys(name, address_mode) for name in names}):
+        columns = list(dict.fromkeys(k for _, keys in reversed(chain) for k in keys))
+        for name, keys in chain:
+            window = Window.partitionBy("Location__c", *columns[: len(keys)])
+            rest = columns[len(keys) :]
+            window = window.orderBy(*rest).rowsBetween(*whole) if rest else window
+            counted = counted.withColumn(name, F.sum("chart_count").over(window))
+    return counted.select(*pairs.columns, *names)
+
+
+def _chains(keys: Mapping[str, Sequence[str]]) -> list[list[tuple[str, Sequence[str]]]]:
+    """Grains in few chains, each grain's keys within those of the one before."""
+    chains: list[list[tuple[str, Sequence[str]]]] = []
+    for name in sorted(keys, key=lambda n: -len(keys[n])):
+        home = next((c for c in chains if set(keys[name]) <= set(c[-1][1])), None)
+        if home is None:
+            chains.append(home := [])
+        home.append((name, keys[name]))
+    return chains
 
 
 def _keyed_counts(pairs: DataFrame, names: Sequence[str], address_mode: str, hot_rows: int) -> DataFrame:

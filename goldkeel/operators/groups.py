@@ -1,12 +1,14 @@
 """Building blocks that keep every task bounded when a few keys are huge.
 
-A key is *hot* when it holds more than ``hot_rows`` rows. Operators first count
-the rows per key, which map tasks combine before the shuffle, and bring the
-largest keys, at most ``MAX_HOT_KEYS``, to the driver. That list only decides
-how rows travel, never which rows count: it is small enough to broadcast, and
-a table of N rows has no other key with more than ``hot_rows`` or
-``N / MAX_HOT_KEYS`` rows, whichever is more. Without hot keys, the usual
-case, the plain join or window is all that remains of the plan.
+A key is *hot* when it holds more than ``hot_rows`` rows, or, should more than
+``MAX_HOT_KEYS`` keys do so, when it holds more than ``N / MAX_HOT_KEYS`` of a
+table's N rows. Fewer than ``MAX_HOT_KEYS`` keys can, so the list of hot keys
+is bounded by this rule itself and may be broadcast. It only decides how rows
+travel, never which rows count. What stays together in one task is at most
+``max(hot_rows, N / MAX_HOT_KEYS)`` rows of a key. Operators count the rows per
+key first, which map tasks combine before the shuffle; that count is a job that
+runs while the plan is made. Without hot keys, the usual case, the plain join
+or window is all that remains of the plan.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ def hot_groups(
     df: DataFrame, keys: Sequence[str], hot_rows: int, aggregates: Sequence[Column] = ()
 ) -> DataFrame | None:
     """The hot keys, with aggregates over their rows, or None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggregates).where(F.col("_rows") > hot_rows)
-    largest = sizes.orderBy(F.col("_rows").desc()).limit(MAX_HOT_KEYS).collect()
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggregates)
+    largest = sizes.where(F.col("_rows") > hot_rows).limit(MAX_HOT_KEYS + 1).collect()
+    if len(largest) > MAX_HOT_KEYS:
+        largest = sizes.where(F.col("_rows") > max(hot_rows, df.count() / MAX_HOT_KEYS)).collect()
     if not largest:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(largest, sizes.schema).drop("_rows"))
@@ -114,18 +118,22 @@ def join_on_unique(
     hot_rows: int = HOT_ROWS,
     key_source: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner join of many rows to a table with one row per key.
+    """Inner join of many rows to a table with about one row per key.
 
-    Rows of hot keys meet their single partner by broadcast; the rest is an
-    ordinary shuffle join. Both tables name the key columns alike. If ``left``
-    is costly, ``key_source`` may name a cheaper table with at least its rows.
+    Rows of hot keys meet their partner by broadcast, provided that the table
+    does hold few rows of them; the rest is an ordinary shuffle join. Both
+    tables name the key columns alike. If ``left`` is costly, ``key_source``
+    may name a cheaper table with at least its rows.
     """
     keys = list(keys)
     left = left.dropna(subset=keys)
     hot = hot_groups(left if key_source is None else key_source.dropna(subset=keys), keys, hot_rows)
     if hot is None:
         return left.join(right, keys)
-    by_broadcast = left.join(F.broadcast(right.join(hot, keys, "left_semi")), keys)
+    partners = right.join(hot, keys, "left_semi")
+    if partners.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+        return left.join(right, keys)
+    by_broadcast = left.join(F.broadcast(partners), keys)
     by_shuffle = left.join(hot, keys, "left_anti").join(right, keys)
     return by_shuffle.unionByName(by_broadcast)
 

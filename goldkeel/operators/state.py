@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,10 +88,12 @@ def register_project(
     project: str,
     junction: DataFrame | None = None,
     rules: TextRules = DEFAULT_RULES,
+    last_key: int = 0,
 ) -> DataFrame:
     """The new control row: none if registered already, or if a given junction
-    has no rows of the project. Its key follows the largest one in use."""
-    last = F.coalesce(F.max("MasteredProjetsListKey"), F.lit(0)).alias("_last")
+    has no rows of the project; both are looked up at once. Its key follows the
+    largest one in use and ``last_key``, the last one ever issued."""
+    last = F.greatest(F.coalesce(F.max("MasteredProjetsListKey"), F.lit(0)), F.lit(last_key)).alias("_last")
     row = control.agg(last).select(*_control_row(F.col("_last") + 1, master, system, project))
     known = not mastered_list(control, project, system, master, rules).isEmpty()
     unlinked = junction is not None and junction_rows(junction, project, rules).isEmpty()
@@ -136,7 +138,3 @@ def unmaster_project(
     return Unmastered(
         control.where(is_not(listed)), chase_map.where(is_not(mapped)), control.where(listed), chase_map.where(mapped)
     )
-
-
-def empty_control(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CONTROL_SCHEMA)

@@ -5,10 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldkeel.functions.text import DEFAULT_RULES, TextRules
-from goldkeel.operators.charts import pair_counts, provider_locations, retrieval_summary, select_projects
+from goldkeel.operators.charts import (
+    MAX_BROADCAST_LINKS,
+    pair_counts,
+    provider_locations,
+    retrieval_summary,
+    select_projects,
+)
 from goldkeel.operators.chase import COUNT_COLUMNS, chase_list
 from goldkeel.operators.groups import HOT_ROWS
 from goldkeel.operators.locations import location_candidates, location_master, merge_report
@@ -124,10 +131,13 @@ def _add(
     hot_rows: int,
 ) -> Result:
     projects = select_projects(inputs.provider, project, system, rules=rules)
-    # The project filter goes straight to the junction scan; the selection
-    # itself has one row.
-    links = provider_locations(projects, junction_rows(inputs.junction, project, rules), rules)
-    pairs = store.stage(pair_counts(links, inputs.charts, inputs.provider, rules=rules), "pairs")
+    # The selection itself has one row; the project's bounds reach the junction scan.
+    found = provider_locations(projects, junction_rows(inputs.junction, project, rules), rules)
+    links = store.stage(found, "links")
+    counts = pair_counts(
+        links, inputs.charts, inputs.provider, rules=rules, max_broadcast_links=MAX_BROADCAST_LINKS
+    )
+    pairs = store.stage(counts, "pairs")
     candidates = store.stage(location_candidates(inputs.location, retrieval_summary(pairs)), "candidates")
     chase = store.stage(chase_list(candidates, pairs, system, project, rules=rules, hot_rows=hot_rows), "chase")
 
@@ -135,14 +145,18 @@ def _add(
     masters = store.read(MASTERS, golden.schema)
     upsert = accumulate_chase_list(chase_map, chase)
     changes = store.stage(upsert.changes, "changes")
-    row = register_project(control, mastering_type, system, project, inputs.junction, rules)
+    last_key = store.last_key(CONTROL)
+    row = store.stage(
+        register_project(control, mastering_type, system, project, inputs.junction, rules, last_key), "control"
+    )
+    issued = row.agg(F.max("MasteredProjetsListKey")).first()[0] or last_key
 
     replace = {MAP: store.write_segment(upsert.target, MAP)}
     append = {
         MASTERS: store.write_segment(append_masters(masters, golden), MASTERS),
         CONTROL: store.write_segment(row, CONTROL),
     }
-    version = store.commit(base, append, replace)
+    version = store.commit(base, append, replace, {CONTROL: issued})
     listed = mastered_list(store.read(CONTROL, CONTROL_SCHEMA), project, system, mastering_type, rules)
     reports = {
         "control": listed,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -37,20 +38,26 @@ def get_session(app: str = "goldkeel", master: str | None = None, **settings: st
 
 
 @functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="goldkeel-")
+def _local_folder() -> tempfile.TemporaryDirectory:
+    """Goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="goldkeel-")
+
+
+def _is_local(master: str) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` is not."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path under the shared one named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its machine.
+    Only a session that is one process may fall back to a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _is_local(spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _local_folder()
+        shared = _local_folder().name
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

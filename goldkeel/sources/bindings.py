@@ -209,9 +209,8 @@ class Bindings:
         if key not in self._written:
             path = scratch_folder(self.spark, f"table-{name}")
             derived = self._derive(name)
-            tasks = self.spark.sparkContext.defaultParallelism
-            if name in ("chart", "junction") and derived.rdd.getNumPartitions() < tasks:
-                derived = derived.repartition(tasks)
+            if name in ("chart", "junction"):
+                derived = derived.repartition(self.spark.sparkContext.defaultParallelism)
             derived.write.parquet(path)
             self._written[key] = path, derived.schema
         path, schema = self._written[key]

@@ -45,7 +45,7 @@ def _load_csv(
             .csv(path)
         )
     except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
+        if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no file to load at {path}") from error
         raise
     dates = {
@@ -67,12 +67,16 @@ def _load_csv(
 def load_npi_registry(
     spark: SparkSession, path: str, max_errors: int | None = MAX_ERRORS, date_format: str = DATE_FORMAT
 ) -> Load:
-    """The 329-column registry file: quoted fields, header line."""
+    """The 329-column registry file: quoted fields, header line.
+
+    Unless ``max_errors`` is None the file is scanned once for bad lines before
+    this returns, wholly if there are few.
+    """
     return _load_csv(spark, path, registry_schema(), max_errors, date_format)
 
 
 def load_deactivations(
     spark: SparkSession, path: str, max_errors: int | None = MAX_ERRORS, date_format: str = DATE_FORMAT
 ) -> Load:
-    """The two-column deactivation list."""
+    """The two-column deactivation list, checked like the registry file."""
     return _load_csv(spark, path, deactivation_schema(), max_errors, date_format)

@@ -4,6 +4,12 @@ A table's content is the list of segment folders its latest commit names. A
 job writes new segments with plain Spark writers first and its commit last, so
 a job that dies leaves the state as it was, and readers always see tables that
 belong together. Appending adds a segment; changing rows replaces them.
+
+A commit file is written under another name and then renamed, which fails if
+the version exists: it is there whole or not at all, and of two writers one
+wins. That needs a file system with such a rename; an object store without one
+needs a conditional put in its place. A commit also holds the last key issued
+for a table, which outlives deleted rows.
 """
 
 from __future__ import annotations
@@ -12,6 +18,7 @@ import json
 import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,25 +34,30 @@ class StateStore:
     def _filesystem(self):
         return self._path("commits").getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
 
-    def _latest(self) -> tuple[int, dict[str, list[str]]]:
+    def _latest(self) -> tuple[int, dict[str, list[str]], dict[str, int]]:
         files, folder = self._filesystem(), self._path("commits")
         if not files.exists(folder):
-            return 0, {}
+            return 0, {}, {}
         names = [status.getPath().getName() for status in files.listStatus(folder)]
         versions = [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
         if not versions:
-            return 0, {}
+            return 0, {}, {}
         last = max(versions)
         stream = files.open(self._path(f"commits/{last:010d}.json"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return last, json.loads(text)
+        content = json.loads(text)
+        return last, content["tables"], content["keys"]
 
     def version(self) -> int:
         return self._latest()[0]
 
+    def last_key(self, table: str) -> int:
+        """The last key issued for a table, 0 if none was."""
+        return self._latest()[2].get(table, 0)
+
     def read(self, table: str, schema: T.StructType) -> DataFrame:
         """Current content; an unknown table is empty."""
         segments = self._latest()[1].get(table, [])
@@ -65,20 +77,55 @@ class StateStore:
         return segment
 
     def commit(
-        self, base: int, append: Mapping[str, str] | None = None, replace: Mapping[str, str] | None = None
+        self,
+        base: int,
+        append: Mapping[str, str] | None = None,
+        replace: Mapping[str, str] | None = None,
+        keys: Mapping[str, int] | None = None,
     ) -> int:
-        """Publish segments on top of version ``base``; fails if another job
-        committed in between."""
-        last, tables = self._latest()
+        """Publish segments, and last issued keys, on top of version ``base``;
+        fails if another job committed in between."""
+        last, tables, issued = self._latest()
         if last != base:
             raise RuntimeError(f"state moved from version {base} to {last}; run the job again")
         for table, segment in (append or {}).items():
             tables.setdefault(table, []).append(segment)
         for table, segment in (replace or {}).items():
             tables[table] = [segment]
-        stream = self._filesystem().create(self._path(f"commits/{base + 1:010d}.json"), False)
+        content = {"tables": tables, "keys": {**issued, **(keys or {})}}
+        draft = self._path(f"drafts/{uuid.uuid4().hex}.json")
+        stream = self._filesystem().create(draft, False)
         try:
-            stream.write(bytearray(json.dumps(tables), "utf-8"))
+            stream.write(bytearray(json.dumps(content), "utf-8"))
         finally:
             stream.close()
+        self._publish(draft, self._path(f"commits/{base + 1:010d}.json"), base)
         return base + 1
+
+    def remove_unused(self) -> None:
+        """Delete stages, drafts and segments that the latest commit does not
+        name. For times when no job runs and no report is still to be read."""
+        files = self._filesystem()
+        _, tables, _ = self._latest()
+        used = {segment for segments in tables.values() for segment in segments}
+        for name in ("staging", "drafts"):
+            files.delete(self._path(name), True)
+        for table in tables:
+            for status in files.listStatus(self._path(table)):
+                segment = f"{table}/{status.getPath().getName()}"
+                if segment not in used:
+                    files.delete(self._path(segment), True)
+
+    def _publish(self, draft, final, base: int) -> None:
+        """Rename without overwriting."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        self._filesystem().mkdirs(final.getParent())
+        context = hadoop.FileContext.getFileContext(self._filesystem().getUri(), conf)
+        never = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+        try:
+            context.rename(context.makeQualified(draft), context.makeQualified(final), never)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                raise RuntimeError(f"state moved on from version {base}; run the job again") from error
+            raise

@@ -52,7 +52,11 @@ def _rows(b: Bindings) -> DataFrame:
 
 
 def _pairs(b: Bindings, project_like: str | None = None) -> DataFrame:
-    return stage(ch.pair_counts(_links(b, project_like), b.charts, b.provider), "pairs")
+    if project_like is None:
+        return stage(ch.pair_counts(_links(b), b.charts, b.provider), "pairs")
+    links = stage(_links(b, project_like), "links")
+    counts = ch.pair_counts(links, b.charts, b.provider, max_broadcast_links=ch.MAX_BROADCAST_LINKS)
+    return stage(counts, "pairs")
 
 
 def _candidates(b: Bindings, **options) -> DataFrame:
@@ -143,8 +147,7 @@ def c07_retrieval_summary(b: Bindings) -> DataFrame:
 
 @query
 def c08_appointment_counts(b: Bindings) -> DataFrame:
-    rows = stage(ch.linked_charts(_links(b), b.charts), "linked")
-    return ch.appointment_counts(rows.drop("MRT_Name__c"))
+    return ch.appointment_counts(ch.linked_charts(_links(b), b.charts).drop("MRT_Name__c"))
 
 
 @query
