@@ -1,3 +1,57 @@
-"""DuckDB twins of the queries that SQL can express on whole tables."""
+"""DuckDB twins of the queries that SQL can express on whole tables.
 
-ORACLES: dict[str, str] = {}
+The others hash by XXH64, merge by a vocabulary, learn weights or align, which
+DuckDB does not; their tests compare them with brute force or with libraries.
+"""
+
+OP6 = r"""
+with rules(host, path, verdict) as (
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+),
+cut as (
+    select row_number() over () as n, page_id,
+           case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+    from pages
+),
+parts as (
+    select n, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+    from cut
+),
+fits as (
+    select n, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict),
+                      length(r.host || r.path) * 1000 + length(r.host)) as best
+    from parts p join rules r
+      on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+    group by n
+)
+select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict
+from parts left join fits using (n)
+"""
+
+OP8 = """
+with recursive usable as (
+    select vec_id, label, embedding::double[] as v,
+           sqrt(list_dot_product(embedding::double[], embedding::double[])) as norm
+    from embeddings
+    where label is not null and embedding is not null
+),
+links as materialized (
+    select a.vec_id as one, b.vec_id as two
+    from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id
+    where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+),
+reach(vec_id, other) as (
+    select vec_id, vec_id from embeddings
+    union
+    select r.vec_id, l.two from reach r join links l on l.one = r.other
+),
+parts as (select vec_id, min(other) as component_id from reach group by vec_id),
+counts as (select one as vec_id, count(*) as n from links group by one)
+select p.vec_id, coalesce(c.n, 0)::bigint as n_links, p.component_id, p.vec_id = p.component_id as kept
+from parts p left join counts c using (vec_id)
+"""
+
+ORACLES: dict[str, str] = {"op6_url_filters": OP6, "op8_embedding_near_duplicates": OP8}
