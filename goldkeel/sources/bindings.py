@@ -132,11 +132,28 @@ REGISTRY = {
     },
 }
 
+
+
+def _registry_file() -> dict[str, str]:
+    """All 329 columns in file order; those without a meaning here vary by row
+    and by position, some of them missing."""
+    columns = {}
+    for i, name in enumerate(registry_columns()):
+        if name in REGISTRY_DATES:
+            value = f"date '2001-01-01' + cast((c_custkey + {i}) * 7 % 6000 as int)"
+        else:
+            value = f"concat('v{i} ', {_text('c_custkey % 97')})"
+        columns[name] = REGISTRY.get(name) or f"case when (c_custkey + {i}) % 5 = 0 then null else {value} end"
+    return columns
+
+
+REGISTRY_FILE = _registry_file()
+
 DEACTIVATION = {
     "NPI": _npi("c_custkey"),
     "NPI_Deactivation_Date": "date '2018-07-10' - cast(c_custkey % 4000 as int)",
 }
-DEACTIVATED = "c_acctbal < 0"
+DEACTIVATED = "(c_acctbal < 0 or c_custkey % 30 = 0)"
 
 
 def _select(columns: dict[str, str]) -> str:
@@ -152,6 +169,7 @@ def duckdb_ctes() -> dict[str, str]:
         f"join (select {_select(PROVIDER)} from customer) pr on pr.Id = o_custkey",
         "chart": f"select {_select(CHART)} from lineitem join orders on l_orderkey = o_orderkey",
         "registry": f"select {_select(REGISTRY)} from customer",
+        "registry_file": f"select {_select(REGISTRY_FILE)} from customer",
         "deactivation": f"select {_select(DEACTIVATION)} from customer where {DEACTIVATED}",
     }
 
@@ -198,6 +216,8 @@ class Bindings:
             return bound(self._lines(), CHART)
         if name == "registry":
             return bound(self._star("customer"), REGISTRY)
+        if name == "registry_file":
+            return bound(self._star("customer"), REGISTRY_FILE)
         if name == "deactivation":
             return bound(self._star("customer").where(DEACTIVATED), DEACTIVATION)
         people = bound(self._star("customer"), PROVIDER).select("Id", "Project_Name__c")
@@ -238,10 +258,8 @@ class Bindings:
 
     @property
     def registry_file(self) -> DataFrame:
-        """All 329 columns in file order, those without a binding NULL."""
-        dates = set(REGISTRY_DATES)
-        blank = {c: f"cast(null as {'date' if c in dates else 'string'}) as {c}" for c in registry_columns()}
-        return self.registry.selectExpr(*[c if c in REGISTRY else blank[c] for c in registry_columns()])
+        """All 329 columns in file order."""
+        return self._table("registry_file")
 
     @property
     def deactivation(self) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from goldkeel.sources.bindings import LOCATION, REGISTRY, duckdb_ctes
+from goldkeel.sources.bindings import LOCATION, duckdb_ctes
 from workload.names import (
     CHASE_COUNTS,
     CLIENT_A,
@@ -375,7 +375,6 @@ def oracle_sql() -> dict[str, str]:
     counts = ", ".join(CHASE_COUNTS)
     session = ", ".join(SESSION_COUNTS)
     session_sums = ", ".join(f"{big(f'sum(p.{c})')} as {c}" for c in SESSION_COUNTS)
-    registry_columns = ", ".join(REGISTRY)
     status = "select n.NPI, n.Entity_Type_Code, {} as Status_of_npi from registry n"
     view_columns = (
         "Client_Name__c, npi_npi, provider_npi, Status_of_npi, Taxonomy_GRP1, Taxonomy_Grp2, Taxonomy_code1, "
@@ -471,7 +470,10 @@ def oracle_sql() -> dict[str, str]:
         "c18_undo_project": with_ctes(
             JOBS, f"select * from ({merged_map('a_chase', 'b_chase')}) m where Project_Name <> '{PROJECT_B}'"
         ),
-        "c19_load_npi_registry": with_ctes({}, f"select {registry_columns} from registry"),
+        "c19_load_npi_registry": with_ctes({}, "select * from registry_file"),
+        "c19_rejects": with_ctes(
+            {}, "select NPI, NPI || ',unknown' as line from deactivation where cast(NPI as bigint) % 7 = 0"
+        ),
         "c20_load_deactivations": with_ctes({}, "select * from deactivation"),
         "c21_npi_status": with_ctes({}, status.format(STATUS.format("De-activated"))),
         "c21_npi_status_no_record": with_ctes({}, status.format(STATUS.format("No Record"))),

@@ -21,7 +21,7 @@ from goldkeel.operators.chase import chase_list
 from goldkeel.plans.mastering import MAP, Inputs, map_schema, master_project
 from goldkeel.session import scratch_folder, stage
 from goldkeel.sources.bindings import Bindings
-from goldkeel.sources.npi_files import DATE_FORMAT, load_deactivations, load_npi_registry
+from goldkeel.sources.npi_files import CORRUPT, DATE_FORMAT, load_deactivations, load_npi_registry
 from goldkeel.sources.snapshots import StateStore
 from workload.names import (
     CHASE_COUNTS,
@@ -261,7 +261,19 @@ def c19_load_npi_registry(b: Bindings) -> DataFrame:
     path = scratch_folder(b.spark, "registry")
     dates = [f.name for f in b.registry_file.schema if f.dataType.typeName() == "date"]
     _as_text(b.registry_file, *dates).write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="")
-    return load_npi_registry(b.spark, path).rows.select(*b.registry.columns)
+    return load_npi_registry(b.spark, path).rows
+
+
+@query
+def c19_rejects(b: Bindings) -> DataFrame:
+    """Lines of a deactivation list whose date cannot be read."""
+    path = scratch_folder(b.spark, "rejects")
+    date = F.when(F.col("NPI").cast("bigint") % 7 == 0, F.lit("unknown")).otherwise(
+        F.date_format("NPI_Deactivation_Date", DATE_FORMAT)
+    )
+    b.deactivation.select("NPI", date.alias("NPI_Deactivation_Date")).write.csv(path, header=True)
+    rejects = load_deactivations(b.spark, path, max_errors=None).rejects
+    return rejects.withColumnRenamed(CORRUPT, "line")
 
 
 @query
