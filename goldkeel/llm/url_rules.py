@@ -13,8 +13,8 @@ of those before it: a window over the sorted rows carries it along. Of what a
 url's keys meet, the longest rule wins.
 
 A domain may hold most urls. Its keys are dealt over shares of bounded size and
-its rules go to each share. Nothing is broadcast by demand, and no row leaves
-native expressions.
+its rules go to each share. Domains with rules are broadcast only if they are
+counted to be few. No row leaves native expressions.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldkeel.operators.groups import broadcast_if_small
 from goldkeel.session import stage
 
 SHARE = 256  # keys of a domain swept in one sort, at least
+MAX_DOMAINS = 100_000  # of rules, that go to every task; more are joined by shuffles
 ALLOW, BLOCK = "allow", "block"
 # Sorts behind every path that begins alike, since no path holds it.
 LAST = "\U0010ffff"
@@ -116,7 +118,7 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     )
     keys = urls.where("host <> ''").select("id", "url", "host", "path", F.explode(domains).alias("domain"))
     # Only domains that have rules; the rest meets none.
-    named = known.select("domain").distinct()
+    named = broadcast_if_small(known.select("domain").distinct(), MAX_DOMAINS)
     keys = keys.join(named, "domain", "left_semi")
     # A share has at least as many keys as rules, so copied rules never outweigh them.
     rows = known.groupBy("domain").agg(F.count(F.lit(1)).alias("rules"))
@@ -124,6 +126,7 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     shares = sizes.select(
         "domain", F.ceil(F.col("keys") / F.greatest(F.lit(share), "rules")).cast("int").alias("shares")
     )
+    shares = broadcast_if_small(stage(shares, "shares"), MAX_DOMAINS)
     events = known.join(shares, "domain").select(
         "domain", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "at", "side", "top"
     )
