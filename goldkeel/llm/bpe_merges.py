@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import functools
 import json
+from array import array
 
 import numpy as np
 import regex
@@ -27,12 +28,15 @@ class Merges:
     the symbols by number.
     """
 
-    def __init__(self, symbols: np.ndarray, pairs: dict[tuple[int, int], tuple[int, int]], spellings: list[bytes]):
-        keys = np.array([a << WIDTH | b for a, b in pairs], np.int64)
+    def __init__(self, symbols: np.ndarray, pairs: array, spellings: list[bytes]):
+        """``pairs`` holds four numbers a pair: both symbols, rank, result. It
+        is flat, as every worker process builds one."""
+        table = np.frombuffer(pairs, np.int64).reshape(-1, 4)
+        keys = table[:, 0] << WIDTH | table[:, 1]
         order = np.argsort(keys)
-        values = np.array(list(pairs.values()), np.int32).reshape(-1, 2)[order]
         self.symbols, self.spellings = symbols, spellings
-        self.keys, self.ranks, self.merged = keys[order], values[:, 0], values[:, 1]
+        self.keys = keys[order]
+        self.ranks, self.merged = (table[order, n].astype(np.int32) for n in (2, 3))
 
     @classmethod
     @functools.cache
@@ -40,17 +44,13 @@ class Merges:
         """From lines of a token in base 64 and its rank; the rank is the id.
         Two symbols merge whenever their bytes together are a token. A process
         reads a file once."""
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        pairs = {}
+        ranks = read_ranks(path)
+        pairs = array("q")
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 if token[:cut] in ranks and token[cut:] in ranks:
-                    pairs[ranks[token[:cut]], ranks[token[cut:]]] = (rank, rank)
-        spellings = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            spellings[rank] = token
-        return cls(np.array([ranks[bytes([b])] for b in range(256)], np.int64), pairs, spellings)
+                    pairs.extend((ranks[token[:cut]], ranks[token[cut:]], rank, rank))
+        return cls(np.array([ranks[bytes([b])] for b in range(256)], np.int64), pairs, spelled(ranks))
 
     @classmethod
     @functools.cache
@@ -60,10 +60,10 @@ class Merges:
             model = json.load(file)["model"]
         letters = byte_letters()
         vocabulary = model["vocab"]
-        pairs = {}
+        pairs = array("q")
         for rank, merge in enumerate(model["merges"]):
             a, b = merge.split(" ") if isinstance(merge, str) else merge
-            pairs[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
+            pairs.extend((vocabulary[a], vocabulary[b], rank, vocabulary[a + b]))
         backward = {letter: byte for byte, letter in enumerate(letters)}
         spellings = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
@@ -115,6 +115,28 @@ class Merges:
         return symbols, np.bincount(owners, minlength=len(sizes))
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+def spelled(ranks: dict[bytes, int]) -> list[bytes]:
+    """The bytes of tokens by number."""
+    spellings = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        spellings[rank] = token
+    return spellings
+
+
+@functools.cache
+def spellings_of(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, starts, bytes) of the tokens of a file of ranks, all that
+    decoding needs of it."""
+    tokens = spelled(read_ranks(path))
+    sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    return sizes, np.cumsum(sizes) - sizes, np.frombuffer(b"".join(tokens), np.uint8)
+
+
 def byte_letters() -> list[str]:
     """The letter by which byte-level vocabularies write each byte: itself if
     it is printable in Latin-1, else the next free letter from U+0100 on."""
@@ -127,7 +149,7 @@ class PieceCache:
     """Symbols of pre-tokens, each worked out once; forgotten when it grows
     beyond ``most`` pre-tokens, which bounds memory and changes no result."""
 
-    def __init__(self, merges: Merges, most: int = 400_000):
+    def __init__(self, merges: Merges, most: int = 100_000):
         self.merges, self.most = merges, most
         self._clear()
 

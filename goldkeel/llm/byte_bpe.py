@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldkeel.llm.bpe_merges import Merges, PieceCache, splitter
+from goldkeel.llm.bpe_merges import Merges, PieceCache, spellings_of, splitter
 from goldkeel.llm.common import text_or_empty
 from goldkeel.llm.token_counts import slices
 
@@ -35,14 +35,15 @@ def encode_short(column: Column, ranks: str, pattern: str) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cache, words = PieceCache(Merges.from_ranks(ranks)), splitter(pattern)
         for batch in batches:
-            texts = batch.to_pylist()
-            totals, symbols = np.zeros(len(texts), np.int64), []
+            # Texts become Python strings one at a time.
+            texts = (value.as_py() for value in batch)
+            totals, symbols = np.zeros(len(batch), np.int64), []
             for owners, pieces in slices(words, None, texts):
                 places = cache.places(pieces)
-                totals += np.bincount(owners, cache.sizes[places], len(texts)).astype(np.int64)
+                totals += np.bincount(owners, cache.sizes[places], len(batch)).astype(np.int64)
                 symbols.append(cache.symbols(places))
             offsets = np.append(0, np.cumsum(totals)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(symbols).astype(np.int32)))
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(symbols)))
             yield pa.ListArray.from_arrays(lists.offsets, lists.values, mask=batch.is_null())
 
     # Used more than once, it would be worked out anew for each use.
@@ -50,22 +51,22 @@ def encode_short(column: Column, ranks: str, pattern: str) -> Column:
 
 
 def _read_chunks(chunks: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(key, place, text, ends, counts, ids) of chunks: where their pre-tokens
-    end within the whole text, and the ids of each."""
+    """(key, start, text, ends, counts, ids) of chunks: where their pre-tokens
+    end within the chunk, how many ids each has, and the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, words = PieceCache(Merges.from_ranks(ranks)), splitter(pattern)
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
-                start, text = one.column("start")[0].as_py(), one.column("text")[0].as_py()
-                pieces = words.findall(text)
+                pieces = words.findall(one.column("text")[0].as_py())
                 places = cache.places(pieces)
-                ends = start + np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-                lists = [pa.array([x]) for x in (ends, cache.sizes[places], cache.symbols(places).astype(np.int64))]
+                ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                found = (ends, cache.sizes[places], cache.symbols(places))
+                lists = [pa.array([x.astype(np.int32)]) for x in found]
                 yield pa.RecordBatch.from_arrays([*one.columns, *lists], names=[*one.schema.names, *FOUND])
 
-    return chunks.mapInArrow(run, "key string, start long, text string, ends array<long>, counts array<long>, ids array<long>")
+    return chunks.mapInArrow(run, "key string, start long, text string, ends array<int>, counts array<int>, ids array<int>")
 
 
 FOUND = ("ends", "counts", "ids")
@@ -82,7 +83,8 @@ def stitch(chunks: list[dict], merges: Merges, pattern: str, step: int = CHUNK)
         last = number == len(chunks) - 1
         if at >= end and not last:
             continue
-        ends, counts, ids = (np.asarray(chunk[n]) for n in FOUND)
+        ends, counts, ids = (np.asarray(chunk[n], np.int64) for n in FOUND)
+        ends = ends + chunk["start"]
         starts = np.append(chunk["start"], ends)
         # Read on to a boundary of this chunk; none is needed at the very start.
         first = int(np.searchsorted(starts, at))
@@ -112,7 +114,11 @@ def _encode_long(texts: DataFrame, ranks: str, pattern: str, step: int, overlap:
     read = _read_chunks(cut.repartition("key", "start"), ranks, pattern)
 
     def join(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["start"])
+        rows = [
+            {n: row[n].values if n in FOUND else row[n].as_py() for n in table.column_names}
+            for row in (dict(zip(table.column_names, cells, strict=True)) for cells in zip(*table.columns, strict=True))
+        ]
+        rows.sort(key=lambda r: r["start"])
         ids = stitch(rows, Merges.from_ranks(ranks), pattern, step)
         return pa.table({"key": [rows[0]["key"]], "ids": [ids.astype(np.int32)]})
 
@@ -151,12 +157,9 @@ def decode(ids: Column, ranks: str) -> Column:
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        spellings = Merges.from_ranks(ranks).spellings
-        sizes = np.fromiter(map(len, spellings), np.int64, len(spellings))
-        pool, starts = np.frombuffer(b"".join(spellings), np.uint8), np.cumsum(sizes) - sizes
+        table = spellings_of(ranks)
         for batch in batches:
-            lists = [np.zeros(0, np.int64) if x is None else x for x in (batch[i].values for i in range(len(batch)))]
-            yield pa.array([None if not batch[i].is_valid else _bytes(x, sizes, starts, pool) for i, x in enumerate(lists)], pa.binary())
+            yield pa.array([_bytes(ids.values, *table) if ids.is_valid else None for ids in batch], pa.binary())
 
     return decoded(ids)
 
