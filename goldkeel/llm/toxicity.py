@@ -11,6 +11,7 @@ through a logistic curve, all fitted on labelled rows.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -115,11 +116,23 @@ def _log_odds(toxic: float, clean: float, toxic_rows: int, clean_rows: int) -> t
     return odds, math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
 
 
+def _digest(column: Column) -> Column:
+    """SHA-256 of a text's folded words, all of them."""
+
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        words = (" ".join(fold(t or "").split()) for t in texts)
+        return pd.Series([hashlib.sha256(w.encode()).digest() for w in words], dtype=object)
+
+    return digest(column)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(text, toxic) of the labelled rows to learn from.
 
-    Only labels outside the held-out fold are read. Of rows that begin or end
-    alike one remains, so that copies don't count as evidence.
+    Only labels outside the held-out fold are read. Of rows of a label whose
+    whole folded texts are equal one remains, so that copies don't count as
+    evidence; texts that differ in any word all stay.
     """
     known = labels.where(F.col("toxic").isNotNull() & (fold_of("doc_id", FOLDS) != HELD_OUT))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -130,10 +143,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("text")).join(
         F.broadcast(chosen), F.col("_id") == F.col("doc_id")
     )
-    for side in (F.substring("text", 1, 48), F.substring("text", -48, 48)):
-        first = F.min(F.struct("_id", "text", "toxic")).alias("first")
-        rows = rows.groupBy(side.alias("side"), F.col("toxic").alias("_of")).agg(first).select("first.*")
-    return rows.select("text", "toxic")
+    first = F.min(F.struct("_id", "text")).alias("first")
+    return rows.groupBy(_digest(F.col("text")).alias("_digest"), "toxic").agg(first).select("first.text", "toxic")
 
 
 def _count_terms(rows: DataFrame) -> DataFrame:

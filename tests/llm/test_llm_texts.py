@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 
@@ -188,6 +189,25 @@ def test_learned_toxicity(spark):
     assert {r.score for r in got if r.doc_id in (1000, 1001)} == {lowest}
 
 
+def test_texts_that_share_an_opening_or_an_ending_all_teach(spark):
+    line = "the same line of words at the top or at the bottom of each page of a site"
+    texts = [f"{line} own{i}" for i in range(20)] + [f"mine{i} {line}" for i in range(20)] + [f"{line} {i * 'w'}x {line}" for i in range(20)]
+    copies = [texts[0], texts[0].upper() + " !", texts[0].replace("own", "0wn")]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(2 * [*texts, *copies]) if toxicity_fold(i) != toxicity.HELD_OUT]
+    labels = [(r[0], 1, int(r[0] >= len(texts) + 3)) for r in rows]
+    got = toxicity.training_rows(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    expected = {(fold_text(r[1]), label[2]) for r, label in zip(rows, labels, strict=True)}
+    assert sorted((fold_text(r.text), r.toxic) for r in got.collect()) == sorted(expected)
+
+
+def toxicity_fold(i):
+    return zlib.crc32(str(i).encode()) % toxicity.FOLDS
+
+
+def fold_text(text):
+    return " ".join(fold_words(text))
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "x", "en", "s", 1)], DOCS)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
