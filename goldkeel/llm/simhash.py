@@ -3,9 +3,10 @@
 The anchors are the code words of two binary Golay codes side by side, which
 cover the low 46 bits of a fingerprint: in each half every word lies within
 the covering radius 3 of exactly one code word. Two fingerprints at up to k
-bits have a midpoint at up to k / 2 bits from both, and the midpoint has an
-anchor; so a fingerprint goes to every anchor it could share with a partner:
-those that exceed the radius by at most k / 2 bits, both halves added up. At
+bits have a midpoint at up to k / 2 bits, rounded up, from both, and the
+midpoint has an anchor; so a fingerprint goes to every anchor it could share
+with a partner: those that exceed the radius by at most so many bits, both
+halves added up. At
 each anchor all arrivals are compared over their full 64 bits. The search is
 exact: no link is missed, whatever the data.
 
@@ -139,8 +140,14 @@ def anchors_of(code: GolayAnchors, fps: np.ndarray, beyond: int) -> tuple[np.nda
     return np.concatenate(index), np.concatenate(anchor)
 
 
+def bits_beyond(max_bits: int) -> int:
+    """By how many bits visited anchors exceed the radius: a midpoint of two
+    fingerprints at an odd number of bits is nearer to one than to the other."""
+    return (max_bits + 1) // 2
+
+
 def _visits(classes: DataFrame, max_bits: int) -> DataFrame:
-    beyond = max_bits // 2
+    beyond = bits_beyond(max_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = GolayAnchors(beyond)

@@ -84,6 +84,20 @@ def test_partners_share_an_anchor(bits):
     assert all(left[k] & right[k] for k in range(400))
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2, 3, 4, 5])
+def test_partners_share_an_anchor_at_the_operators_reach(bits):
+    dice = np.random.default_rng(5)
+    beyond = simhash.bits_beyond(bits)
+    code = simhash.GolayAnchors(beyond)
+    fps = dice.integers(-(1 << 62), 1 << 62, 400)
+    others = fps.copy()
+    for i in range(400):
+        for b in dice.choice(2 * simhash.LENGTH, bits, replace=False):
+            others[i] ^= np.int64(1 << int(b))
+    visits = [set(zip(*(x.tolist() for x in simhash.anchors_of(code, f, beyond)), strict=True)) for f in (fps, others)]
+    assert {i for i, _ in visits[0] & visits[1]} == set(range(400))
+
+
 def near_texts():
     dice = random.Random(3)
     base = [" ".join(dice.choice("abcdefghij") * 2 for _ in range(60)) for _ in range(12)]
