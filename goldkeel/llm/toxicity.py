@@ -35,7 +35,6 @@ LEAST_Z = 2.6  # a term's log odds over its standard error
 LEAST_ODDS = 3.3
 TOXIC_SAMPLE = 4_000  # labelled rows to learn from, at most about so many
 CLEAN_SAMPLE = 8_000
-MOST_TERMS = 20_000  # candidates that reach the driver
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 
@@ -110,10 +109,10 @@ def features(weight: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(weight)), np.log1p(weight), np.log1p(100 * weight / np.maximum(words, 1))], axis=1)
 
 
-def _log_odds(toxic: float, clean: float, toxic_rows: int, clean_rows: int) -> tuple[float, float]:
-    """(log odds, standard error) of a term's share among toxic rows."""
-    odds = math.log((toxic + 0.5) / (toxic_rows + 1)) - math.log((clean + 0.5) / (clean_rows + 1))
-    return odds, math.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+def _log_odds(toxic_rows: int, clean_rows: int) -> tuple[Column, Column]:
+    """(log odds, standard error) of the share of ``toxic`` among toxic rows."""
+    toxic, clean = F.col("toxic") + 0.5, F.col("clean") + 0.5
+    return F.log(toxic / (toxic_rows + 1)) - F.log(clean / (clean_rows + 1)), F.sqrt(1 / toxic + 1 / clean)
 
 
 def _digest(column: Column) -> Column:
@@ -167,12 +166,8 @@ def _count_terms(rows: DataFrame) -> DataFrame:
     )
 
 
-def _choose(counts: list, toxic_rows: int, clean_rows: int) -> dict[str, float]:
-    scored = []
-    for term, toxic, clean in counts:
-        odds, error = _log_odds(toxic, clean, toxic_rows, clean_rows)
-        if odds >= LEAST_ODDS and odds / error >= LEAST_Z:
-            scored.append((-round(odds, 6), term.endswith(" "), -len(term), term, odds))
+def _choose(accepted: list[tuple[str, float]]) -> dict[str, float]:
+    scored = [(-round(odds, 6), term.endswith(" "), -len(term), term, odds) for term, odds in accepted]
     chosen: dict[str, float] = {}
     covered: set[str] = set()  # all beginnings of chosen terms
     for *_, term, odds in sorted(scored):
@@ -230,16 +225,13 @@ def learn(rows: DataFrame) -> Model:
         toxic_rows, clean_rows = sizes.get(1, 0), sizes.get(0, 0)
         if not toxic_rows:
             return Model()
-        share = F.col("toxic") / toxic_rows - F.col("clean") / max(clean_rows, 1)
-        counts = _count_terms(rows).where((F.col("toxic") >= 3) & (share > 0))
-        best = counts.orderBy(share.desc(), "term").limit(MOST_TERMS).collect()
-        terms = _choose(best, toxic_rows, clean_rows)
-        phrases = _count_phrases(rows, terms).where("clean >= 3").orderBy(F.col("clean").desc(), "term").limit(MOST_TERMS)
-        exceptions = []
-        for phrase, toxic, clean in phrases.collect():
-            odds, error = _log_odds(toxic, clean, toxic_rows, clean_rows)
-            if odds < 0 or odds + error < 1:
-                exceptions.append(phrase)
+        odds, error = _log_odds(toxic_rows, clean_rows)
+        # Tested before they leave Spark: only accepted terms and phrases reach the driver, all of them.
+        beyond_doubt = (F.col("toxic") >= 3) & (odds >= LEAST_ODDS) & (odds / error >= LEAST_Z)
+        accepted = _count_terms(rows).where(beyond_doubt).select("term", odds.alias("odds"))
+        terms = _choose([tuple(r) for r in accepted.collect()])
+        mostly_harmless = (F.col("clean") >= 3) & ((odds < 0) | (odds + error < 1))
+        exceptions = [r.term for r in _count_phrases(rows, terms).where(mostly_harmless).select("term").collect()]
         model = Model(terms, exceptions)
         seen = rows.select(evidence(F.col("text"), model).alias("e"), "toxic").toPandas()
         found = np.array([(e["weight"], e["words"]) for e in seen["e"]], float)

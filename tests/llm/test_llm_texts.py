@@ -200,6 +200,14 @@ def test_texts_that_share_an_opening_or_an_ending_all_teach(spark):
     assert sorted((fold_text(r.text), r.toxic) for r in got.collect()) == sorted(expected)
 
 
+def test_common_words_crowd_no_toxic_term_out(spark):
+    dice = random.Random(12)
+    common = " ".join("".join(dice.choice("abcdefghijklm") for _ in range(8)) for _ in range(7000))
+    toxic = [(common + (" snork" if i < 30 else ""), 1) for i in range(40)]
+    clean = [(common if i < 8 else "plain words", 0) for i in range(40)]
+    assert toxicity.learn(spark.createDataFrame(toxic + clean, "text string, toxic int")).terms.keys() == {" snork"}
+
+
 def toxicity_fold(i):
     return zlib.crc32(str(i).encode()) % toxicity.FOLDS
 
