@@ -6,7 +6,9 @@ the text less position in the passage) differ by at most k. So the q-grams that
 text and passages share are counted in bands of diagonals, each 2 k wide and
 overlapping the next by half: every such place lies within one band whole. Bands
 that reach the bound are regions to verify by an alignment within the band.
-Nothing is missed, and what is returned does meet the edit budget.
+Nothing is missed, and what is returned does meet the edit budget. Passages too
+short for that bound take shorter q-grams, and those whose budget is no edit are
+found by one automaton, so that each non-empty passage has its full budget.
 
 The passages are a stated query set. They are looked up in blocks of bounded
 size, each sent to all tasks in turn; texts never move.
@@ -14,17 +16,20 @@ size, each sent to all tasks in turn; texts never move.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Q = 8
+WIDTHS = (8, 4)  # of q-grams; 4 leaves a bound above zero to all passages with a budget
 EDITS = 0.1  # edits for each character of a passage, at most
 BLOCK_CHARS = 1_000_000  # of passages looked up at a time
 SLICE = 1 << 20  # characters of texts hashed at a time
+HITS = 1 << 22  # q-grams shared by texts and passages, held at a time unless one text has more
 BITS = 22  # of the table that rules q-grams out
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 MATCHES = "array<struct<item_id: long, start: long, end: long, edits: int>>"
@@ -39,34 +44,90 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
 
 
-def qgram_hashes(codes: np.ndarray) -> np.ndarray:
+def qgram_hashes(codes: np.ndarray, q: int) -> np.ndarray:
     """A hash of each q-gram, by doubling: of 2, 4 and then 8 characters."""
-    if len(codes) < Q:
+    if len(codes) < q:
         return np.zeros(0, np.uint64)
     width, factor = 1, FACTOR
     with np.errstate(over="ignore"):
-        while width < Q:
+        while width < q:
             codes = codes[:-width] * factor + codes[width:]
             width, factor = 2 * width, factor * factor
         return codes * FACTOR
 
 
-class Passages:
-    """A block of passages with an index of their q-grams.
+def _edits(size: int) -> int:
+    """How many edits the budget of a passage has."""
+    return int(size * EDITS)
 
-    Passages shorter than two q-grams are no evidence and are left out.
-    """
+
+class Passages:
+    """A block of passages, each looked up by the means that suits its length:
+    the widest q-grams that leave a bound, or exactly if it allows no edit."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
-        kept = [(i, t) for i, t in ((i, normalised(t)) for i, t in items) if len(t) >= 2 * Q]
+        kept = [(i, t) for i, t in ((i, normalised(t)) for i, t in items) if t]
+        self.sizes = np.array([len(t) for _, t in kept], np.int64)
+        self.edits = np.array([_edits(len(t)) for _, t in kept], np.int64)
+        by_width: dict[int, list[tuple[int, str]]] = {}
+        for i, t in kept:
+            k = _edits(len(t))
+            width = next(q for q in WIDTHS if len(t) + 1 - q - k * q >= 1) if k else 0
+            by_width.setdefault(width, []).append((i, t))
+        self.exact = Exact(by_width.pop(0, []))
+        self.blocks = [Block(chosen, q) for q, chosen in by_width.items()]
+
+    def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """Matches (item id, start, end, edits) of each normalised text."""
+        found = [self.exact.search(t) for t in texts]
+        for block in self.blocks:
+            for matches, more in zip(found, block.search(texts), strict=True):
+                matches += more
+        return [_best(matches) for matches in found]
+
+    def search_long(self, text: str) -> list[tuple[int, int, int, int]]:
+        """Matches of one text in windows that share a passage's room."""
+        overlap = int((self.sizes + 4 * np.maximum(self.edits, 1)).max(initial=0)) + max(WIDTHS)
+        found = []
+        for begin in range(0, len(text), SLICE):
+            for item, start, end, edits in self.search([text[begin : begin + SLICE + overlap]])[0]:
+                found.append((item, begin + start, begin + end, edits))
+        return _best(found)
+
+
+class Exact:
+    """Passages that allow no edit, all found in one pass over a text."""
+
+    def __init__(self, kept: list[tuple[int, str]]) -> None:
+        ids: dict[str, set[int]] = {}
+        for i, t in kept:
+            ids.setdefault(t, set()).add(i)
+        self.automaton = ahocorasick.Automaton()
+        for t, same in ids.items():
+            self.automaton.add_word(t, (len(t), sorted(same)))
+        if ids:
+            self.automaton.make_automaton()
+
+    def search(self, text: str) -> list[tuple[int, int, int, int]]:
+        if not len(self.automaton):
+            return []
+        return [
+            (i, last + 1 - size, last + 1, 0) for last, (size, ids) in self.automaton.iter(text) for i in ids
+        ]
+
+
+class Block:
+    """Passages with an index of their q-grams of one width."""
+
+    def __init__(self, kept: list[tuple[int, str]], q: int) -> None:
+        self.q = q
         self.ids = [i for i, _ in kept]
         self.texts = [t for _, t in kept]
         sizes = np.array([len(t) for t in self.texts], np.int64)
-        # As many edits as the budget has, but never so many that the bound is void.
-        self.edits = np.minimum((sizes * EDITS).astype(np.int64), (sizes - Q) // Q)
-        self.bounds = sizes + 1 - Q - self.edits * Q
+        self.edits = np.array([_edits(len(t)) for t in self.texts], np.int64)
+        self.bounds = sizes + 1 - q - self.edits * q
         self.sizes, self.steps = sizes, np.maximum(self.edits, 1)
-        hashes = [qgram_hashes(_codes(t)) for t in self.texts]
+        hashes = [qgram_hashes(_codes(t), q) for t in self.texts]
         every = np.concatenate([np.zeros(0, np.uint64), *hashes])
         order = np.argsort(every, kind="stable")
         item = np.repeat(np.arange(len(kept)), [len(h) for h in hashes])
@@ -82,12 +143,15 @@ class Passages:
         if not self.ids or not texts:
             return found
         begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
-        hashes = qgram_hashes(_codes("\n".join(texts)))  # no q-gram of a passage holds a line feed
+        hashes = qgram_hashes(_codes("\n".join(texts)), self.q)  # no q-gram of a passage holds a line feed
         at = np.flatnonzero(self.table[hashes >> np.uint64(64 - BITS)])
         slot = np.minimum(np.searchsorted(self.hashes, hashes[at]), len(self.hashes) - 1)
         same = self.hashes[slot] == hashes[at]
         at, slot = at[same], slot[same]
         times = self.counts[slot]
+        if len(texts) > 1 and times.sum() > HITS:
+            half = len(texts) // 2
+            return self.search(texts[:half]) + self.search(texts[half:])
         entry = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - self.firsts[slot], times)
         at = np.repeat(at, times)
         text = np.searchsorted(begins, at, side="right") - 1
@@ -108,7 +172,7 @@ class Passages:
             match = self._verify(texts[number], i, (int(keys[k]) & 0xFFFFFFFF) * int(self.steps[i]) - int(self.sizes[i]))
             if match:
                 found[number].append((self.ids[i], *match))
-        return [_best(matches) for matches in found]
+        return found
 
     def _dense(self, i: int, diagonals: np.ndarray, places: np.ndarray) -> bool:
         """Whether some range of diagonals as wide as the budget holds as many
@@ -121,15 +185,6 @@ class Passages:
                 return True
         return False
 
-    def search_long(self, text: str) -> list[tuple[int, int, int, int]]:
-        """Matches of one text in windows that share a passage's room."""
-        overlap = int((self.sizes + 4 * self.steps).max(initial=0)) + Q
-        found = []
-        for begin in range(0, len(text), SLICE):
-            for item, start, end, edits in self.search([text[begin : begin + SLICE + overlap]])[0]:
-                found.append((item, begin + start, begin + end, edits))
-        return _best(found)
-
     def _verify(self, text: str, i: int, diagonal: int) -> tuple[int, int, int] | None:
         """The passage's best place near the band that begins at a diagonal."""
         passage, budget = self.texts[i], int(self.edits[i])
@@ -184,11 +239,13 @@ def align(passage: str, region: str, budget: int) -> tuple[int, int, int] | None
 
 def _best(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
     """Of overlapping matches of a passage, that with the fewest edits."""
-    kept: list[tuple[int, int, int, int]] = []
-    for match in sorted(set(matches), key=lambda x: (x[3], x[0], x[1])):
-        if not any(k[0] == match[0] and match[1] < k[2] and k[1] < match[2] for k in kept):
-            kept.append(match)
-    return sorted(kept)
+    kept: dict[int, list[tuple[int, int, int]]] = {}
+    for item, start, end, edits in sorted(set(matches), key=lambda x: (x[3], x[0], x[1])):
+        mine = kept.setdefault(item, [])  # in order, and none overlaps another
+        at = bisect_left(mine, (start,))
+        if (at == 0 or mine[at - 1][1] <= start) and (at == len(mine) or mine[at][0] >= end):
+            mine.insert(at, (start, end, edits))
+    return sorted((item, *place) for item, places in kept.items() for place in places)
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[int, str]]]:
@@ -235,8 +292,8 @@ def with_matches(
     docs: DataFrame, benchmark: DataFrame, to: str, text: str = "text", item_id: str = "item_id", item_text: str = "text"
 ) -> DataFrame:
     """Add the array of matches. Null and empty texts hold none; passages that
-    are null, shorter than two q-grams or without an id are not looked for; of
-    equal passages each id is reported. An empty benchmark matches nothing."""
+    are null, blank or without an id are not looked for; of equal passages each
+    id is reported. An empty benchmark matches nothing."""
     columns = [matches_in(F.col(text), items) for items in _blocks(benchmark, item_id, item_text)]
     return docs.withColumn(to, F.concat(*columns) if len(columns) > 1 else columns[0])
 

@@ -44,6 +44,24 @@ def test_passages_are_found_exactly_within_the_budget():
             assert levenshtein_within(items[i][1], text[got[0][1] : got[0][2]]) == got[0][3]
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 9, 10, 15, 16, 19, 20, 23, 24, 29, 30, 31, 32])
+def test_short_passages_have_their_full_budget(size):
+    dice = random.Random(size)
+    some = lambda n: "".join(dice.choice("abcdefgh") for _ in range(n))
+    passage = some(size)
+    passages = decontaminate.Passages([(1, passage), (2, some(60))])
+    for _ in range(60):
+        letters = list(passage)
+        for _ in range(dice.randrange(size // 10 + 2)):
+            at = dice.randrange(len(letters) or 1)
+            letters[at : at + dice.randrange(2)] = dice.choice(["", "x", "y"])
+        text = "z" * 20 + "".join(letters) + some(20)
+        got = [m for m in passages.search([text])[0] if m[0] == 1]
+        edits = levenshtein_within(passage, text)
+        assert bool(got) == (edits <= size // 10)
+        assert not got or min(m[3] for m in got) == edits
+
+
 def test_long_texts_are_searched_in_windows(monkeypatch):
     monkeypatch.setattr(decontaminate, "SLICE", 200)
     passage = "the passage that a benchmark holds word for word"
