@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldkeel.llm import (
+    bit_slices,
     byte_bpe,
+    collocations,
     decontaminate,
     embeddings,
     html_text,
     language_id,
     pii,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     url_rules,
@@ -81,6 +84,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return bit_slices.top_k(table(spark, folder, "embeddings"))
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -94,5 +109,8 @@ QUERIES: dict[str, Query] = {
         op8_embedding_near_duplicates,
         op9_byte_bpe,
         op10_pii,
+        op11_phrase_collocations,
+        op12_exact_top_k,
+        op13_spelling_variants,
     )
 }

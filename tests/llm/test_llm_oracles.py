@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", ORACLES)
 def test_query_matches_twin(spark, name):
     database = duckdb.connect()
-    for table in ("pages", "embeddings"):
+    for table in ("pages", "embeddings", "documents"):
         database.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     cursor = database.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
