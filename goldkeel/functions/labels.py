@@ -90,6 +90,7 @@ NO_RECORD = "No Record"
 
 
 def npi_status(entity_type_code: Column, missing: str = DEACTIVATED) -> Column:
-    """1 is a person, 2 an organization; anything else gets ``missing``."""
-    code = F.trim(entity_type_code)
-    return F.when(code == "1", "Individual").when(code == "2", "Organization").otherwise(missing)
+    """1 is a person, 2 an organization, compared as numbers; anything else
+    gets ``missing``."""
+    code = F.trim(entity_type_code).try_cast("int")
+    return F.when(code == 1, "Individual").when(code == 2, "Organization").otherwise(missing)

@@ -25,6 +25,7 @@ from goldkeel.operators.groups import (
     first_per_group,
     join_on_unique,
 )
+from goldkeel.operators.pruning import WORDS, pruned
 
 # Codes of a released, quality-passed, not replicated chart.
 DISPOSITION = "QAP"
@@ -32,7 +33,7 @@ STATUS = "REL"
 REPLICA = "Replication"
 
 PAIR = ["Location__c", "Provider__c"]
-NO_TYPE = "\0"  # stands for a missing appointment type, which groups like any other
+NO_TYPE = "\0"  # stands for a missing appointment type or location, which groups like any other
 MAX_BROADCAST_PROJECTS = 100_000
 MAX_BROADCAST_LINKS = 500_000
 
@@ -187,17 +188,20 @@ def pair_counts(
     exclude_mrt: str = REPLICA,
     rules: TextRules = DEFAULT_RULES,
     max_broadcast_links: int | None = None,
+    filter_words: int = WORDS,
 ) -> DataFrame:
     """Qualifying charts counted per (location, provider), with its match keys.
 
     Nearly everything downstream is constant within such a pair, so charts are
     scanned once and counted before any join. For the links of a few projects
-    give ``max_broadcast_links`` and staged links: if there are no more, charts
-    of other pairs are left out before they are classified or move.
+    give ``max_broadcast_links`` and staged links: charts of other pairs are
+    left out before they are classified or move, all of them if there are no
+    more links than that, most of them by a filter of at most ``filter_words``
+    words if there are.
     """
     passing = passing_charts(charts, disposition, status, exclude_mrt, rules).select(*PAIR, "Id", "MRT_Name__c")
-    if max_broadcast_links is not None and links.limit(max_broadcast_links + 1).count() <= max_broadcast_links:
-        passing = passing.join(F.broadcast(links.select(*PAIR)), PAIR, "left_semi")
+    if max_broadcast_links is not None:
+        passing = pruned(passing, links, PAIR, max_broadcast_links, filter_words)
     typed = classify_retrieval(passing, rules)
     per_pair = typed.groupBy(*PAIR).agg(
         F.count("Id").alias("chart_count"),
@@ -244,15 +248,17 @@ def appointment_counts(
 
     Rows are counted per location and type, and these few counts summed to
     locations; both are attached to the rows by one join. Rows of hot
-    locations meet theirs by broadcast.
+    locations meet theirs by broadcast. Rows without a location share one.
     """
-    typed = rows.withColumn("_type", F.coalesce(rules.key(F.col("Appointment_Type__c")), F.lit(NO_TYPE)))
-    keys = ["Location__c", "_type"]
+    place = F.coalesce(F.col("Location__c").cast("string"), F.lit(NO_TYPE))
+    kind = F.coalesce(rules.key(F.col("Appointment_Type__c")), F.lit(NO_TYPE))
+    typed = rows.withColumns({"_place": place, "_type": kind})
+    keys = ["_place", "_type"]
     per_type = typed.groupBy(*keys).agg(
         F.count("chart_id").alias("countOfChartsAtLocationbyAppointmentType"), F.count("Provider__c").alias("_rows")
     )
-    per_location = per_type.groupBy("Location__c").agg(F.sum("_rows").alias("provider_charts_at_loc"))
-    totals = per_type.drop("_rows").join(per_location, "Location__c")
+    per_location = per_type.groupBy("_place").agg(F.sum("_rows").alias("provider_charts_at_loc"))
+    totals = per_type.drop("_rows").join(per_location, "_place")
     return join_on_unique(typed, totals, keys, hot_rows).select(*rows.columns, *totals.columns[2:])
 
 

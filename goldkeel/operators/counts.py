@@ -63,14 +63,18 @@ def _window_counts(pairs: DataFrame, names: Sequence[str], address_mode: str) ->
     """All counts by windows after a single exchange on the location.
 
     The windows of a chain partition by more and more of the same columns and
-    order by the rest, so that one sort serves them all.
+    order by the rest, so that one sort serves them all. Each chain has a copy
+    of the location to partition by: the optimizer moves a window below one
+    whose partition includes its own, which would take the chains apart.
     """
-    counted = pairs.repartition("Location__c")
+    chains = _chains({name: grain_keys(name, address_mode) for name in names})
+    copies = {f"_location_{n}": F.col("Location__c") for n in range(len(chains))}
+    counted = pairs.repartition("Location__c").withColumns(copies)
     whole = (Window.unboundedPreceding, Window.unboundedFollowing)
-    for chain in _chains({name: grain_keys(name, address_mode) for name in names}):
+    for location, chain in zip(copies, chains, strict=True):
         columns = list(dict.fromkeys(k for _, keys in reversed(chain) for k in keys))
         for name, keys in chain:
-            window = Window.partitionBy("Location__c", *columns[: len(keys)])
+            window = Window.partitionBy(location, *columns[: len(keys)])
             rest = columns[len(keys) :]
             window = window.orderBy(*rest).rowsBetween(*whole) if rest else window
             counted = counted.withColumn(name, F.sum("chart_count").over(window))

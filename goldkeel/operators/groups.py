@@ -77,6 +77,17 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: s
     return condition
 
 
+def _hot_codes(df: DataFrame, key_sets: Sequence[Sequence[str]], hot_rows: int) -> list[list[int]]:
+    """Hash codes of the hot keys under each set of key columns, from one count."""
+    codes = F.array(*[F.xxhash64(*keys) for keys in key_sets])
+    sizes = df.select(F.posexplode(codes).alias("no", "code")).groupBy("no", "code").agg(F.count(F.lit(1)).alias("rows"))
+    most = MAX_HOT_KEYS * len(key_sets)
+    largest = sizes.where(F.col("rows") > hot_rows).limit(most + 1).collect()
+    if len(largest) > most:
+        largest = sizes.where(F.col("rows") > max(hot_rows, df.count() / MAX_HOT_KEYS)).collect()
+    return [[r["code"] for r in largest if r["no"] == no] for no in range(len(key_sets))]
+
+
 class GroupTotal(NamedTuple):
     """An aggregate over the rows that share some key columns."""
 
@@ -92,16 +103,21 @@ def with_group_totals(
 
     Cold groups are totalled by a window. Rows of hot groups take their total
     from the broadcast list, and their window partition is scattered by the
-    hash of ``spread_by``, so no task ever holds a hot group. The input is read
-    once more per total to find the hot groups; stage it if it is costly.
+    hash of ``spread_by``, so no task ever holds a hot group. The hot groups of
+    all totals are found by one job that reads the input once more; stage it if
+    it is costly.
     """
     result = df
-    for total in totals:
+    hot_codes = _hot_codes(df, [total.keys for total in totals], hot_rows)
+    for total, codes in zip(totals, hot_codes, strict=True):
         keys, columns = list(total.keys), result.columns
-        hot = hot_groups(df, keys, hot_rows, [total.aggregate.alias("_total")])
-        if hot is None:
+        if not codes:
             result = result.withColumn(total.name, total.aggregate.over(Window.partitionBy(*keys)))
             continue
+        # Keys that share the code of a hot one are treated as hot, too.
+        listed = F.broadcast(df.sparkSession.createDataFrame([(c,) for c in codes], "_code long"))
+        hot = df.join(listed, F.xxhash64(*keys) == F.col("_code"), "left_semi")
+        hot = F.broadcast(hot.groupBy(*keys).agg(total.aggregate.alias("_total")))
         hot = hot.select(*[F.col(k).alias("_key_" + k) for k in keys], "_total", F.lit(True).alias("_is_hot"))
         marked = result.join(hot, _same_keys(result, hot, keys, "_key_"), "left")
         spread = F.when(F.col("_is_hot"), F.xxhash64(*spread_by)).otherwise(F.lit(0))

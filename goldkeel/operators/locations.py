@@ -46,6 +46,7 @@ OTHER_COLUMNS = [
 ]
 RETRIEVAL_COLUMNS = ["Best_Retreival_Type", *[f"charts_retreived_via_{name}" for _, name in RETRIEVAL_SUMMARY]]
 
+# Text of the separator columns.
 SEPARATORS = {
     "DATASET_CONTACT_INFO": "Contact Info=>",
     "DATASET_CHARTS_INFO": "Charts Info=>",
@@ -73,8 +74,10 @@ def location_candidates(
     encoding: str = "UTF-8",
     require_contact: bool = False,
     strip_country: bool = False,
+    raw_zip_and_fax: bool = False,
 ) -> DataFrame:
-    """One row per location reached by charts: ids, cleansed contact, chart figures."""
+    """One row per location reached by charts: ids, cleansed contact, chart
+    figures. ``raw_zip_and_fax`` leaves these as they are stored."""
     rows = location
     if require_contact:
         rows = rows.where(
@@ -87,6 +90,9 @@ def location_candidates(
     def clean(name: str) -> Column:
         return cleanse_phone(F.col(name), strip_country).alias(name)
 
+    def fax(name: str) -> Column:
+        return F.col(name) if raw_zip_and_fax else clean(name)
+
     prepared = rows.select(
         F.col("Id").alias("Location__c"),
         F.col("Name").alias("SFDC_LID"),
@@ -97,14 +103,14 @@ def location_candidates(
         address_lines(line1, line2).alias("Address_With_Suite"),
         "City__c",
         "State__c",
-        fix_zip(F.col("ZIP_Code__c")).alias("ZIP_Code__c"),
+        F.col("ZIP_Code__c") if raw_zip_and_fax else fix_zip(F.col("ZIP_Code__c")).alias("ZIP_Code__c"),
         clean("Phone_1__c"),
         "Phone_1_Ext__c",
         clean("Phone_2__c"),
         "Phone_2_Ext__c",
-        clean("Fax_Number__c"),
-        clean("Fax_Number_Console__c"),
-        clean("Fax_Number_For_Display__c"),
+        fax("Fax_Number__c"),
+        fax("Fax_Number_Console__c"),
+        fax("Fax_Number_For_Display__c"),
         *STORAGE_COLUMNS,
         "CreatedDate",
         "Num_of_Charts__c",
@@ -126,6 +132,32 @@ def merge_report(candidates: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return with_group_totals(report, totals, ["Location__c"], hot_rows)
 
 
+def merged_ids(candidates: DataFrame, more_than: int = 1) -> DataFrame:
+    """Per id kind and new id that stands for more than one source id: its
+    rows, distinct locations and distinct source ids.
+
+    Rows are counted per new id and value first, which spreads the rows of an
+    id that most locations share; what is summed after that are the counts
+    that each task has already combined.
+    """
+    kinds = F.array(*[F.struct(F.lit(k).alias("id_kind"), F.col(k).alias("new_id")) for k in ID_KINDS])
+    values = F.array(
+        F.struct(F.lit("location").alias("of"), F.col("Location__c").cast("string").alias("value")),
+        F.struct(F.lit("source").alias("of"), F.col("SFDC_LID").cast("string").alias("value")),
+    )
+    rows = candidates.select("Location__c", "SFDC_LID", F.inline(kinds)).select("id_kind", "new_id", F.inline(values))
+    per_value = rows.groupBy("id_kind", "new_id", "of", "value").agg(F.count(F.lit(1)).alias("rows"))
+    is_location, has_value = F.col("of") == "location", F.col("value").isNotNull()
+    sources = F.sum(F.when(~is_location & has_value, F.col("rows"))).alias("source_rows")
+    per_id = per_value.groupBy("id_kind", "new_id").agg(
+        F.sum(F.when(is_location, F.col("rows"))).alias("row_count"),
+        F.count(F.when(is_location & has_value, 1)).alias("distinct_locations"),
+        F.count(F.when(~is_location & has_value, 1)).alias("distinct_source_ids"),
+        sources,
+    )
+    return per_id.where(F.col("source_rows") > more_than).drop("source_rows")
+
+
 def merge_reduction(candidates: DataFrame) -> DataFrame:
     """Per id kind: rows, distinct locations, distinct new ids, ids saved, and
     the locations and groups that really merged."""

@@ -144,7 +144,6 @@ def _add(
     golden = location_master(candidates)
     masters = store.read(MASTERS, golden.schema)
     upsert = accumulate_chase_list(chase_map, chase)
-    changes = store.stage(upsert.changes, "changes")
     last_key = store.last_key(CONTROL)
     row = store.stage(
         register_project(control, mastering_type, system, project, inputs.junction, rules, last_key), "control"
@@ -160,7 +159,8 @@ def _add(
     listed = mastered_list(store.read(CONTROL, CONTROL_SCHEMA), project, system, mastering_type, rules)
     reports = {
         "control": listed,
-        "changes": changes,
+        # From stages and segments that later versions leave as they are.
+        "changes": upsert.changes,
         "merge_report": merge_report(candidates, hot_rows),
         "location_master": golden,
         "chase_list": chase,

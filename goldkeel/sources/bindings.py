@@ -101,6 +101,13 @@ JUNCTION = {
     "LastModifiedDate": "case when l_partkey % 5 = 0 then null else l_shipdate end",
 }
 
+# The same links, but a project reaches some locations alone and shares others.
+REGIONAL_JUNCTION = {
+    **JUNCTION,
+    "Project_Name__c": "concat(substring(Project_Name__c, 1, length(Project_Name__c) - 1), case cast(floor(l_suppkey / 3.0) as bigint) % 3 "
+    f"when 0 then '0' when 1 then '1' else {_text('o_custkey % 2')} end)",
+}
+
 CHART = {
     "Id": f"concat({_text('l_orderkey')}, '-', {_text('l_linenumber')})",
     "Provider__c": "o_custkey",
@@ -167,6 +174,8 @@ def duckdb_ctes() -> dict[str, str]:
         "location": f"select {_select(LOCATION)} from supplier",
         "junction": f"select {_select(JUNCTION)} from lineitem join orders on l_orderkey = o_orderkey "
         f"join (select {_select(PROVIDER)} from customer) pr on pr.Id = o_custkey",
+        "regional_junction": f"select {_select(REGIONAL_JUNCTION)} from lineitem join orders on l_orderkey = o_orderkey "
+        f"join (select {_select(PROVIDER)} from customer) pr on pr.Id = o_custkey",
         "chart": f"select {_select(CHART)} from lineitem join orders on l_orderkey = o_orderkey",
         "registry": f"select {_select(REGISTRY)} from customer",
         "registry_file": f"select {_select(REGISTRY_FILE)} from customer",
@@ -222,14 +231,15 @@ class Bindings:
             return bound(self._star("customer").where(DEACTIVATED), DEACTIVATION)
         people = bound(self._star("customer"), PROVIDER).select("Id", "Project_Name__c")
         lines = self._lines()
-        return bound(lines.join(people, lines["o_custkey"] == people["Id"]), JUNCTION)
+        columns = REGIONAL_JUNCTION if name == "regional_junction" else JUNCTION
+        return bound(lines.join(people, lines["o_custkey"] == people["Id"]), columns)
 
     def _table(self, name: str) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in self._written:
             path = scratch_folder(self.spark, f"table-{name}")
             derived = self._derive(name)
-            if name in ("chart", "junction"):
+            if name in ("chart", "junction", "regional_junction"):
                 derived = derived.repartition(self.spark.sparkContext.defaultParallelism)
             derived.write.parquet(path)
             self._written[key] = path, derived.schema
@@ -248,6 +258,10 @@ class Bindings:
     def junction(self) -> DataFrame:
         return self._table("junction")
 
+    @property
+    def regional_junction(self) -> DataFrame:
+        return self._table("regional_junction")
+
     @property
     def charts(self) -> DataFrame:
         return self._table("chart")

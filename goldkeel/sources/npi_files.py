@@ -5,13 +5,15 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldkeel.session import stage
 from goldkeel.sources.schemas import deactivation_schema, registry_schema
 
 CORRUPT = "_corrupt_record"
+FIRST = "_first_field"
 MAX_ERRORS = 10
 DATE_FORMAT = "MM/dd/yyyy"
 
@@ -27,9 +29,10 @@ def _load_csv(
     """Rows that fit the schema, and the lines that do not.
 
     Fields are read as text and dates converted here, so whether a line is bad
-    never depends on the columns a query uses. Both parts stay lazy. The check
-    reads only until it has seen one bad line more than allowed; pass
-    ``max_errors=None`` to skip that pass.
+    never depends on the columns a query uses. The file is read once: its rows
+    are written, and bad lines counted on the way; both parts are what was
+    written. With ``max_errors=None`` nothing is counted and both parts stay
+    lazy.
     """
     names = schema.fieldNames()
     text = T.StructType([T.StructField(name, T.StringType()) for name in [*names, CORRUPT]])
@@ -56,12 +59,18 @@ def _load_csv(
     bad = F.col(CORRUPT).isNotNull()
     for name, value in dates.items():
         bad = bad | (F.col(name).isNotNull() & value.isNull())
-    rows = lines.where(~bad).select(*[dates.get(n, F.col(n)).alias(n) for n in names])
-    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names))).alias(CORRUPT)
-    rejects = lines.where(bad).select(names[0], line)
-    if max_errors is not None and rejects.limit(max_errors + 1).count() > max_errors:
-        raise ValueError(f"more than {max_errors} bad rows in {path}")
-    return Load(rows, rejects)
+    line = F.when(bad, F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))).alias(CORRUPT)
+    # The first column also names a reject, as it was read.
+    first = F.col(names[0]).alias(FIRST)
+    loaded = lines.select(*[dates.get(n, F.col(n)).alias(n) for n in names], line, first)
+    if max_errors is not None:
+        seen = Observation()
+        loaded = stage(loaded.observe(seen, F.count(CORRUPT).alias("bad")), "load")
+        # A task that ran twice may have counted twice; what was written has not.
+        if seen.get["bad"] > max_errors and loaded.where(F.col(CORRUPT).isNotNull()).count() > max_errors:
+            raise ValueError(f"more than {max_errors} bad rows in {path}")
+    rows = loaded.where(F.col(CORRUPT).isNull()).select(*names)
+    return Load(rows, loaded.where(F.col(CORRUPT).isNotNull()).select(F.col(FIRST).alias(names[0]), CORRUPT))
 
 
 def load_npi_registry(
@@ -69,8 +78,8 @@ def load_npi_registry(
 ) -> Load:
     """The 329-column registry file: quoted fields, header line.
 
-    Unless ``max_errors`` is None the file is scanned once for bad lines before
-    this returns, wholly if there are few.
+    Unless ``max_errors`` is None the load is written before this returns, and
+    fails with more bad lines than that.
     """
     return _load_csv(spark, path, registry_schema(), max_errors, date_format)
 

@@ -15,6 +15,7 @@ for a table, which outlives deleted rows.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Mapping
 
@@ -22,6 +23,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+KEPT_SECONDS = 7 * 24 * 3600.0
+
 
 class StateStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -40,10 +43,12 @@ class StateStore:
             return 0, {}, {}
         names = [status.getPath().getName() for status in files.listStatus(folder)]
         versions = [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
-        if not versions:
+        return self._commit(max(versions)) if versions else (0, {}, {})
+
+    def _commit(self, last: int) -> tuple[int, dict[str, list[str]], dict[str, int]]:
+        if not last:
             return 0, {}, {}
-        last = max(versions)
-        stream = files.open(self._path(f"commits/{last:010d}.json"))
+        stream = self._filesystem().open(self._path(f"commits/{last:010d}.json"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
@@ -58,12 +63,15 @@ class StateStore:
         """The last key issued for a table, 0 if none was."""
         return self._latest()[2].get(table, 0)
 
-    def read(self, table: str, schema: T.StructType) -> DataFrame:
-        """Current content; an unknown table is empty."""
-        segments = self._latest()[1].get(table, [])
-        if not segments:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{s}" for s in segments])
+    def read(self, table: str, schema: T.StructType | None = None, version: int | None = None) -> DataFrame:
+        """Content now, or as of an earlier version whose segments are still
+        kept; an unknown table is empty. Without a schema that of the segments
+        counts, of which there must be some."""
+        segments = (self._latest() if version is None else self._commit(version))[1].get(table, [])
+        paths = [f"{self.root}/{s}" for s in segments]
+        if schema is None:
+            return self.spark.read.parquet(*paths)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write a stage once and go on from the written rows."""
@@ -102,19 +110,21 @@ class StateStore:
         self._publish(draft, self._path(f"commits/{base + 1:010d}.json"), base)
         return base + 1
 
-    def remove_unused(self) -> None:
+    def remove_unused(self, older_than: float = KEPT_SECONDS) -> None:
         """Delete stages, drafts and segments that the latest commit does not
-        name. For times when no job runs and no report is still to be read."""
+        name and that no job has touched for so many seconds. Choose more than
+        the longest job takes and a report is read for."""
         files = self._filesystem()
         _, tables, _ = self._latest()
         used = {segment for segments in tables.values() for segment in segments}
-        for name in ("staging", "drafts"):
-            files.delete(self._path(name), True)
-        for table in tables:
-            for status in files.listStatus(self._path(table)):
-                segment = f"{table}/{status.getPath().getName()}"
-                if segment not in used:
-                    files.delete(self._path(segment), True)
+        before = (time.time() - older_than) * 1000
+        for name in ("staging", "drafts", *tables):
+            if not files.exists(self._path(name)):
+                continue
+            for status in files.listStatus(self._path(name)):
+                entry = f"{name}/{status.getPath().getName()}"
+                if entry not in used and status.getModificationTime() < before:
+                    files.delete(self._path(entry), True)
 
     def _publish(self, draft, final, base: int) -> None:
         """Rename without overwriting."""

@@ -109,3 +109,21 @@ def test_summary_agrees_with_chart_rows(spark, provider):
     summary = ch.retrieval_summary(ch.pair_counts(links, b.charts, provider))
     by_pair = summary.where("charts_retreived_via_Fax > 0").select("Location__c", F.col("charts_retreived_via_Fax"))
     assert rows(by_chart) == rows(by_pair)
+
+
+@pytest.mark.parametrize("hot_rows", [0, 1_000_000])
+def test_appointment_counts_keep_rows_without_location(spark, hot_rows):
+    data = [(None, p, f"c{p}", "T1" if p % 2 else None) for p in range(5)] + [(1, 7, "x", "T1")]
+    df = spark.createDataFrame(data, "Location__c long, Provider__c long, chart_id string, Appointment_Type__c string")
+    got = ch.appointment_counts(df, hot_rows=hot_rows)
+    expected = [
+        (*r, sum(1 for o in data if (o[0], o[3]) == (r[0], r[3])), sum(1 for o in data if o[0] == r[0])) for r in data
+    ]
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_sorted_report_descending_and_by_expression(spark):
+    df = spark.createDataFrame([(2, "a"), (1, "b"), (None, "c")], "x int, y string")
+    assert [r[1] for r in ch.sorted_report(df, [-1]).collect()] == ["a", "b", "c"]
+    assert [r[1] for r in ch.sorted_report(df, ["-y"]).collect()] == ["c", "b", "a"]
+    assert [r[1] for r in ch.sorted_report(df, [F.coalesce("x", F.lit(9)).desc()]).collect()] == ["c", "a", "b"]

@@ -98,3 +98,39 @@ def test_hot_locations_change_no_chase_list(spark, hot_rows):
     assert rows(chase_list(found, pairs, by="lid_provider", hot_rows=hot_rows)) == rows(usual)
     plain = ch.qualifying_charts(links, b.charts, b.provider)
     assert rows(ch.qualifying_charts(links, b.charts, b.provider, hot_rows=1).select(*plain.columns)) == rows(plain)
+
+
+def groups_of(spark, texts):
+    from goldkeel.operators.chase import SHOWN, provider_groups
+
+    types = "Provider__c long, " + ", ".join(f"{c} string" for c in SHOWN)
+    pairs = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)] * 3, types)
+    return provider_groups(pairs)
+
+
+TEXTS = [
+    ("7", "t", "A", "5"), ("7", "T ", "a", "5"), ("7", "t", None, "5"), (None, "t", "A", "5"),
+    (None, None, None, None), ("7", None, "t", "5"), ("8", "t", "A", "5"),
+]
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_provider_groups_follow_the_texts(spark, monkeypatch, collide):
+    if collide:  # as if all texts had one hash code
+        monkeypatch.setattr(F, "xxhash64", lambda *columns: F.lit(1).cast("long"))
+    groups = groups_of(spark, TEXTS)
+    named = {tuple(r[:2]): tuple(r[2:]) for r in groups.texts.collect()}
+    members = {r["Provider__c"]: named[(r["_code"], r["_place"])] for r in groups.members.collect()}
+    assert members[0] == members[1] == ("7", "T ", "a", "5")
+    assert {i: m for i, m in members.items() if i > 1} == {i: t for i, t in enumerate(TEXTS) if i > 1}
+    assert len(named) == 6
+
+
+def test_distinct_chase_map(spark):
+    from goldkeel.operators.chase import SHOWN, distinct_chase_map
+
+    types = "Location__c long, Provider__c long, " + ", ".join(f"{c} string" for c in SHOWN) + ", key_phone string"
+    pairs = spark.createDataFrame([(i % 4, p, *t, t[3]) for i in range(8) for p, t in enumerate(TEXTS)], types)
+    lids = spark.createDataFrame([("x", 0), ("x", 1), ("y", 2)], "NEW_LID_ALL string, Location__c long")
+    got = rows(distinct_chase_map(lids, pairs, hot_rows=5))
+    assert got == rows(distinct_chase_map(lids, pairs)) and len(got) == 2 * 6

@@ -15,6 +15,7 @@ from goldkeel.operators.groups import (
     with_group_totals,
 )
 from goldkeel.functions.text import DEFAULT_RULES
+from goldkeel.session import stage
 
 HOT = [0, 2, 10, 1_000_000]
 
@@ -92,3 +93,28 @@ def test_broadcast_only_below_the_bound(spark, skewed):
         assert "BroadcastHashJoin" not in plan(skewed.join(broadcast_if_small(small, 1), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
+def test_all_hot_groups_are_found_by_one_job(spark, skewed, hot_rows):
+    source = stage(skewed, "skewed")
+    totals = [GroupTotal(f"n{i}", keys, F.count(F.lit(1))) for i, keys in enumerate((["k"], ["v"], ["k", "v"], ["id"]))]
+    group = f"totals-{hot_rows}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        with_group_totals(source, totals, ["id"], hot_rows)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    executions = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    stages = {s for j in executions for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    # One query: a map and a reduce step, whatever the number of totals.
+    assert len(executions) <= 2 and len(stages) <= 3
+
+
+def test_more_hot_keys_than_may_be_listed(spark, skewed, monkeypatch):
+    from goldkeel.operators import groups
+
+    monkeypatch.setattr(groups, "MAX_HOT_KEYS", 2)
+    totals = [GroupTotal("n", ["k"], F.count(F.lit(1))), GroupTotal("m", ["v"], F.sum("id"))]
+    assert rows(with_group_totals(skewed, totals, ["id"], 0)) == rows(with_group_totals(skewed, totals, ["id"]))
+    assert all(len(codes) <= 2 for codes in groups._hot_codes(skewed, [["k"], ["v"]], 0))

@@ -11,6 +11,7 @@ from goldkeel.operators.locations import (
     location_ids,
     location_master,
     merge_reduction,
+    merged_ids,
     merge_report,
     percent_recovered,
 )
@@ -111,3 +112,48 @@ def test_percent_is_cut_not_rounded(spark):
     assert str(plain[1]).startswith("66.6666") and plain[2] is None
     double = df.select(percent_recovered(F.col("r"), F.col("n").cast("double"))).first()[0]
     assert double == Decimal("33.33")
+
+
+def merged(spark, data, hot=0):
+    types = "Location__c long, SFDC_LID string, " + ", ".join(f"{k} string" for k in ID_KINDS)
+    return spark.createDataFrame(data, types).repartition(5)
+
+
+def test_merged_ids_match_brute_force(spark):
+    """One id holds most rows; some source ids and locations are null or repeat."""
+    data = []
+    for i in range(300):
+        lid = "hot" if i % 3 else f"id{i % 17}"
+        source = None if i % 11 == 0 else f"LID-{i // 2}"
+        data.append((None if i % 13 == 0 else i // 3, source, lid, f"a{i % 5}", None if i % 7 == 0 else "p", str(i)))
+    expected = []
+    for n, kind in enumerate(ID_KINDS, 2):
+        for lid in {r[n] for r in data}:
+            mine = [r for r in data if r[n] == lid]
+            if sum(r[1] is not None for r in mine) > 1:
+                places, sources = ({r[c] for r in mine} - {None} for c in (0, 1))
+                expected.append((kind, lid, len(mine), len(places), len(sources)))
+    assert rows(merged_ids(merged(spark, data))) == sorted(expected, key=repr)
+
+
+def test_merged_ids_spread_a_hot_id(spark):
+    """The first exchange deals rows by value, too, and sends counts only."""
+    from test_groups import plan
+
+    data = [(i, f"L{i}", "hot", "a", "p", "b") for i in range(200)]
+    text = plan(merged_ids(merged(spark, data)))
+    dealt = [line for line in text.splitlines() if "hashpartitioning" in line]
+    assert any("value" in line for line in dealt)
+    assert text.count("partial_count(1)") >= 1 and "Expand" not in text
+
+
+def test_merged_ids_of_few(spark):
+    assert rows(merged_ids(merged(spark, []))) == []
+    assert rows(merged_ids(merged(spark, [(1, "x", "i", "i", "i", "i")]))) == []
+
+
+def test_raw_zip_and_fax(location, retrieval):
+    raw = location_candidates(location, retrieval, raw_zip_and_fax=True)
+    names = ["ZIP_Code__c", "Fax_Number__c", "Fax_Number_Console__c", "Fax_Number_For_Display__c"]
+    stored = location.join(raw.select("Location__c"), F.col("Id") == F.col("Location__c"))
+    assert rows(raw.select(*names)) == rows(stored.select(*names))

@@ -101,3 +101,28 @@ def test_a_huge_provider_is_split_by_adaptive_execution(spark, no_static_broadca
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_all_counts_take_one_sort_a_chain(b):
+    """15 counts in five chains: windows of a chain share its sort, and the
+    exchange is the only one."""
+    links = ch.provider_locations(ch.select_projects(b.provider), b.junction)
+    pairs = stage(ch.pair_counts(links, b.charts, b.provider), "pairs")
+    text = plan(co._window_counts(pairs, list(co.GRAINS), "lines"))
+    tree = text[: text.index("(1) Scan")]
+    assert tree.count("Sort (") <= 6
+    assert text.count("hashpartitioning") == 1
+
+
+def test_chase_sums_by_provider_aggregate_by_hash(spark):
+    text = plan(QUERIES["c13_chase_list_by_provider"](spark, SF))
+    assert "SortAggregate" not in text
+    assert "SortAggregate" not in plan(QUERIES["c13_distinct_chase_map"](spark, SF))
+
+
+def test_bounds_of_a_project_reach_the_reader(b):
+    from goldkeel.operators.state import junction_rows
+
+    text = plan(junction_rows(b.junction, "BUILDING|2018|MRR|0"))
+    assert "GreaterThanOrEqual(Project_Name__c,BUILDING|2018|MRR|0)" in text
+    assert "LessThan(Project_Name__c,building|2018|mrr|0!)" in text

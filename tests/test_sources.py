@@ -84,3 +84,24 @@ def test_scratch_uses_the_configured_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_folder(spark, "x").startswith(shared + "/x-")
     assert get_session() is not None
+
+
+def test_the_eleventh_bad_row_fails_the_load(spark, tmp_path):
+    def lines(bad):
+        return ["NPI,NPI Deactivation Date", *[f"{i},05/01/2012" for i in range(40)], *[f"{i},x" for i in range(bad)]]
+
+    load = load_deactivations(spark, write(tmp_path, *lines(10)))
+    assert load.rows.count() == 40 and load.rejects.count() == 10
+    with pytest.raises(ValueError, match="more than 10 bad rows"):
+        load_deactivations(spark, write(tmp_path, *lines(11)))
+
+
+def test_a_checked_load_reads_its_file_once(spark, tmp_path):
+    from test_groups import plan
+
+    path = write(tmp_path, "NPI,NPI Deactivation Date", "1003002031,05/01/2012", "1003002049,x")
+    load = load_deactivations(spark, path)
+    (tmp_path / "file.csv").write_text("changed")
+    assert rows(load.rows) == [("1003002031", datetime.date(2012, 5, 1))]
+    assert rows(load.rejects) == [("1003002049", "1003002049,x")]
+    assert "Scan csv" not in plan(load.rows) and "Scan csv" not in plan(load.rejects)

@@ -1,4 +1,5 @@
 import datetime
+import re
 import uuid
 
 import pytest
@@ -196,3 +197,81 @@ def test_a_lost_job_leaves_no_trace_and_commits_collide(spark):
     store.commit(2, replace={"t": three})
     assert rows(store.read("t", types)) == [("c",)]
     assert uuid.UUID(three.split("/")[1])
+
+
+def test_content_of_earlier_versions(spark):
+    store = new_store(spark)
+    types = spark.createDataFrame([], "k string").schema
+    one, two = (store.write_segment(spark.createDataFrame([(k,)], types), "t") for k in "ab")
+    store.commit(0, append={"t": one})
+    store.commit(1, append={"t": two})
+    assert rows(store.read("t", types, version=1)) == [("a",)]
+    assert rows(store.read("t", version=2)) == [("a",), ("b",)]
+    assert rows(store.read("t", types, version=0)) == []
+
+
+def test_a_torn_draft_is_never_read(spark):
+    store = new_store(spark)
+    stream = store._filesystem().create(store._path("drafts/torn.json"), False)
+    stream.write(bytearray(b'{"tables": {'))
+    stream.close()
+    stream = store._filesystem().create(store._path("commits/.0000000009.json.tmp"), False)
+    stream.close()
+    assert store.version() == 0
+    segment = store.write_segment(spark.createDataFrame([("a",)], "k string"), "t")
+    assert store.commit(0, append={"t": segment}) == 1
+
+
+def test_of_two_commits_at_once_one_wins(spark):
+    """Both read the same version before either publishes."""
+    store = new_store(spark)
+    rival = StateStore(spark, store.root)
+    one = store.write_segment(spark.createDataFrame([("a",)], "k string"), "t")
+    two = rival.write_segment(spark.createDataFrame([("b",)], "k string"), "t")
+    seen = rival._latest()
+    store.commit(0, append={"t": one})
+    rival._latest = lambda: seen
+    with pytest.raises(RuntimeError, match="run the job again"):
+        rival.commit(0, append={"t": two})
+    assert rows(store.read("t", version=1)) == [("a",)]
+
+
+def test_remove_unused_spares_what_is_young_or_in_use(spark):
+    store = new_store(spark)
+    staged = store.stage(spark.createDataFrame([("s",)], "k string"), "some")
+    old = store.write_segment(spark.createDataFrame([("a",)], "k string"), "t")
+    store.commit(0, replace={"t": old})
+    new = store.write_segment(spark.createDataFrame([("b",)], "k string"), "t")
+    store.commit(1, replace={"t": new})
+    store.remove_unused()
+    assert rows(staged) == [("s",)] and rows(store.read("t", version=1)) == [("a",)]
+    store.remove_unused(older_than=-60)
+    assert rows(store.read("t")) == [("b",)]
+    files = store._filesystem()
+    assert not files.exists(store._path(old)) and files.exists(store._path(new))
+    assert len(files.listStatus(store._path("staging"))) == 0
+    new_store(spark).remove_unused(older_than=-60)
+
+
+def test_keys_of_deleted_projects_are_not_issued_again(spark, inputs):
+    store = new_store(spark)
+    run(spark, inputs, store, "ADD", A)
+    run(spark, inputs, store, "DELETE", A)
+    assert store.last_key(job.CONTROL) == 1
+    second = run(spark, inputs, store, "ADD", B)
+    assert [r[0] for r in rows(second.reports["control"])] == [2]
+
+
+def test_regional_projects_leave_and_stay(spark):
+    """A deleted project takes its rows along, those of the other stay."""
+    from workload.queries import QUERIES
+
+    names = [n for n in QUERIES if re.match("c18_.*after_|c15_.*_next_|c17_.*regional_rem", n)]
+    count = {n: QUERIES[n](spark, "/root/testdata/sf0.001").count() for n in names}
+    assert count["c18_map_after_delete"] + count["c18_backup_after_delete"] == count["c18_map_after_adds"]
+    assert min(count["c18_map_after_delete"], count["c18_backup_after_delete"]) > 1
+    assert count["c18_control_after_adds"] == 2 and count["c18_control_after_delete"] == 1
+    assert count["c18_masters_after_delete"] > count["c18_masters_after_first_add"] > 1
+    appended = count["c18_masters_after_delete"] - count["c18_masters_after_first_add"]
+    assert count["c15_append_masters_of_next_project"] == appended > 1
+    assert count["c17_unmaster_regional_remaining"] == count["c18_map_after_delete"]

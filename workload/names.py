@@ -1,5 +1,7 @@
 """Names used by queries and their SQL twins alike."""
 
+from goldkeel.functions.labels import RETRIEVAL_RULES
+
 PROJECT_A = "BUILDING|2018|MRR|0"
 CLIENT_A = "BUILDING"
 PROJECT_B = "BUILDING|2018|MRR|1"
@@ -8,6 +10,23 @@ ODD = "ODD PROJECTS"
 NPI = "1000000030"
 TAXONOMY_CODES = ["207Q00001X", "207q00030x", "207Q00042X"]
 
+
+def _keyword_names() -> str:
+    """An expression that gives charts names made of all keywords, whole or
+    within other words, in several spellings, and some that are no keyword."""
+    words = [w for rule in RETRIEVAL_RULES for w in (*rule.keywords, *rule.whole)]
+    words += ["Boxer", "Box Springs", "J. Doe", "Ring  central", "Mail  Room", "EM ail"]
+    number = "(Provider__c * 7 + Location__c)"
+    cases = " ".join(f"when {i} then '{w}'" for i, w in enumerate(words))
+    name = f"(case {number} % {len(words) + 1} {cases} end)"
+    return (
+        f"case Location__c % 5 when 0 then {name} when 1 then upper({name}) when 2 then concat(lower({name}), '  ') "
+        f"when 3 then concat('the ', {name}, 'x') else concat(' ', {name}) end"
+    )
+
+
+KEYWORD_NAMES = _keyword_names()
+
 # Count columns of the chase list.
 CHASE_COUNTS = [
     "charts_at_loc",

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import re
 
+from goldkeel.functions.labels import RETRIEVAL_RULES
 from goldkeel.sources.bindings import LOCATION, duckdb_ctes
 from workload.names import (
     CHASE_COUNTS,
     CLIENT_A,
     EVEN,
+    KEYWORD_NAMES,
     NPI,
     ODD,
     PROJECT_A,
@@ -78,25 +80,22 @@ CONTACT = f"""
     {clean('p.Fax_Number__c')} as Fax_Number__c
 """
 
-COPY_SERVICES = """
-    ciox|diversified|dmrs|chartswap|chart swap|sharecare|share care|mro|datafile|data file|scanstat|scan stat|health|
-    integrity document solutions|ids|bactes|iod|stat imaging|imaging|chart|photostat|photo stat|midwest roi|verisma|
-    dynamic document imaging|ddi|medical records
-"""
-COPY_PATTERN = "|".join(word.strip() for word in COPY_SERVICES.replace("\n", "").split("|"))
-RETRIEVAL = f"""case when MRT_Name__c is null then 'NullsOthers'
-    when lower(MRT_Name__c) like '%ftp%' then 'SFTP'
-    when regexp_matches(lower(MRT_Name__c), 'mail ?room') then 'Mail Room'
-    when regexp_matches(lower(MRT_Name__c), 'ring ?central|vitelity') then 'Fax'
-    when regexp_matches(lower(MRT_Name__c), 'e[ -]?mail') then 'E-Mail'
-    when regexp_matches(lower(MRT_Name__c), '{COPY_PATTERN}') or lower(rtrim(MRT_Name__c)) = 'box' then 'CopyService'
-    else 'Field' end"""
+
+def retrieval(name: str) -> str:
+    """The label of a retrieval name: the first rule with a keyword in it."""
+    cases = f"when {name} is null then 'NullsOthers' "
+    for rule in RETRIEVAL_RULES:
+        tests = [f"contains(lower({name}), '{word.lower()}')" for word in rule.keywords]
+        tests += [f"lower(rtrim({name}, ' ')) = '{word.lower()}'" for word in rule.whole]
+        cases += f"when {' or '.join(tests)} then '{rule.label}' "
+    return f"case {cases} else 'Field' end"
+
 
 PASSING = (
     "c.FileBound_Disposition_Code__c = 'QAP' and c.FileBound_Status__c = 'REL' and c.MRT_Name__c <> 'Replication'"
 )
 
-# Extra partition keys of every count: n = NPI, t = TIN, a = address, f = full address, ph = phone.
+# Count columns and the extra partition keys of each: n = NPI, t = TIN, a = address, f = full address, ph = phone.
 PARTITIONS = {
     "charts_at_loc": "",
     "CountOfCharts_atLoc_byNpiTinAddPhone": "n, t, a, ph",
@@ -119,7 +118,9 @@ SESSION_COUNTS = [
 ]
 
 
-def rel_ctes(prefix: str = "", project: str = "true", mode: str = "lines") -> dict[str, str]:
+def rel_ctes(
+    prefix: str = "", project: str = "true", mode: str = "lines", junction: str = "junction"
+) -> dict[str, str]:
     """Links, chart rows with all window counts, and one row per pair."""
     counts = ", ".join(
         f"count(chart_id) over (partition by Location__c{', ' + (keys.replace('a', 'f') if mode == 'full' else keys) if keys else ''}) as {name}"
@@ -131,13 +132,13 @@ def rel_ctes(prefix: str = "", project: str = "true", mode: str = "lines") -> di
               select Location__c, Provider__c, {later('LastModifiedDate', 'CreatedDate')} as plj_record_date,
                      row_number() over (partition by Location__c, Provider__c
                                         order by LastModifiedDate nulls first, CreatedDate nulls first) as rn
-              from junction where Project_Name__c in (select Project_Name__c from provider where {project})) ranked
+              from {junction} where Project_Name__c in (select Project_Name__c from provider where {project})) ranked
             where rn = 1""",
         f"{prefix}rel": f"""
             select *, {counts} from (
               select l.Location__c, l.Provider__c, l.plj_record_date, c.Id as chart_id, c.MRT_Name__c,
                      c.Appointment_Type__c, {later('c.LastModifiedDate', 'c.CreatedDate')} as chart_date,
-                     {RETRIEVAL.replace('MRT_Name__c', 'c.MRT_Name__c')} as kind,
+                     {retrieval('c.MRT_Name__c')} as kind,
                      p.NPI__c, p.TIN_ID__c, p.Phone_Number__c, p.NPI__c as n, p.TIN_ID__c as t, {PIPED} as a,
                      {FULL} as f, coalesce(p.Phone_Number__c, p.Secondary_Phone_Number__c) as ph
               from {prefix}links l join chart c on l.Location__c = c.Location__c and l.Provider__c = c.Provider__c
@@ -196,7 +197,13 @@ RENAMED = ["Id", "Name", "Address_Line_1__c", "Address_Line_2__c", "ZIP_Code__c"
 PLAIN = [c for c in LOCATION if c not in RENAMED]
 
 
-def candidate_cte(prefix: str = "", mode: str = "lines", where: str = "true", name: str = "cand") -> dict[str, str]:
+def candidate_cte(
+    prefix: str = "", mode: str = "lines", where: str = "true", name: str = "cand", raw: bool = False
+) -> dict[str, str]:
+    cleaned = [c if raw and c.startswith("Fax") else f"{clean(c)} as {c}" for c in CLEANED]
+    zip_code = "ZIP_Code__c" if raw else (
+        "case when length(rtrim(ZIP_Code__c)) < 5 then '0' || ZIP_Code__c else ZIP_Code__c end as ZIP_Code__c"
+    )
     return {
         f"{prefix}{name}": f"""
             select l.Id as Location__c, l.Name as SFDC_LID, l.* exclude (Id, Name, source_line_1, source_line_2),
@@ -205,8 +212,7 @@ def candidate_cte(prefix: str = "", mode: str = "lines", where: str = "true", na
             from (select Id, Name, {id_columns(mode)}, {', '.join(PLAIN)},
                          Address_Line_1__c as source_line_1, Address_Line_2__c as source_line_2,
                          {lines()} as Address_With_Suite,
-                         case when length(rtrim(ZIP_Code__c)) < 5 then '0' || ZIP_Code__c else ZIP_Code__c end as ZIP_Code__c,
-                         {', '.join(f'{clean(c)} as {c}' for c in CLEANED)}
+                         {zip_code}, {', '.join(cleaned)}
                   from location where {where}) l
             join {prefix}retrieval r on l.Id = r.Location__c""",
     }
@@ -221,6 +227,7 @@ REPORT = """
            count(SFDC_LID) over (partition by NEW_LID_ADD_BASE_PHONE) as count_sfLid_at_NewLIdBasePhone
     from cand"""
 
+# Columns of a golden record.
 GOLDEN_COLUMNS = """
     Contact_Person__c, Contact_Person_2__c, Practice_Name__c, Address_Line, Address_Suite_No, Address_With_Suite,
     City__c, State__c, ZIP_Code__c, Phone_1__c, Phone_1_Ext__c, Phone_2__c, Phone_2_Ext__c, Fax_Number__c,
@@ -250,9 +257,11 @@ def chase(prefix: str = "", client: str | None = None, project: str | None = Non
                from {prefix}cand m join {prefix}pair p on m.Location__c = p.Location__c group by m.NEW_LID_ALL"""
 
 
-def run_ctes(prefix: str, project: str, where: str, client: str, name: str) -> dict[str, str]:
+def run_ctes(
+    prefix: str, project: str, where: str, client: str, name: str, junction: str = "junction"
+) -> dict[str, str]:
     return {
-        **rel_ctes(prefix, project),
+        **rel_ctes(prefix, project, junction=junction),
         **candidate_cte(prefix, where=where),
         f"{prefix}chase": chase(prefix, client, name),
     }
@@ -300,6 +309,11 @@ JOBS = {
     **run_ctes("a_", f"Project_Name__c = '{PROJECT_A}'", "true", CLIENT_A, PROJECT_A),
     **run_ctes("b_", f"Project_Name__c = '{PROJECT_B}'", "true", CLIENT_A, PROJECT_B),
 }
+REGIONAL = {
+    **run_ctes("ra_", f"Project_Name__c = '{PROJECT_A}'", "true", CLIENT_A, PROJECT_A, "regional_junction"),
+    **run_ctes("rb_", f"Project_Name__c = '{PROJECT_B}'", "true", CLIENT_A, PROJECT_B, "regional_junction"),
+}
+REGIONAL_MAP = merged_map("ra_chase", "rb_chase")
 CONTROL = {
     "control": """
         select distinct cast(ascii(substring(Client_Name__c, 1, 1)) as bigint) as MasteredProjetsListKey,
@@ -357,21 +371,53 @@ def _uniqueness(table: str, ctes: dict[str, str]) -> str:
 
 
 def _reduction() -> str:
-    kinds = " union all ".join(
-        f"select '{kind}' as id_kind, Location__c, {kind} as new_id from cand"
-        for kind in ("NEW_LID_ALL", "NEW_LID_ADD", "NEW_LID_PHONE", "NEW_LID_ADD_BASE_PHONE")
-    )
     return with_ctes(
         CAND,
         f"""select id_kind, count(*) as row_count, count(distinct Location__c) as distinct_locations,
                    count(distinct new_id) as distinct_new_ids, count(*) - count(distinct new_id) as ids_saved,
                    count(*) filter (where size > 1) as rows_in_merged_groups,
                    count(distinct case when size > 1 then new_id end) as merged_groups
-            from (select *, count(*) over (partition by id_kind, new_id) as size from ({kinds}) k) s group by id_kind""",
+            from (select *, count(*) over (partition by id_kind, new_id) as size from ({_kinds()}) k) s group by id_kind""",
     )
 
 
+def _kinds() -> str:
+    return " union all ".join(
+        f"select '{kind}' as id_kind, Location__c, SFDC_LID, {kind} as new_id from cand"
+        for kind in ("NEW_LID_ALL", "NEW_LID_ADD", "NEW_LID_PHONE", "NEW_LID_ADD_BASE_PHONE")
+    )
+
+
+def _merged_ids() -> str:
+    return f"""select id_kind, new_id, count(*) as row_count, count(distinct Location__c) as distinct_locations,
+                      count(distinct SFDC_LID) as distinct_source_ids
+               from ({_kinds()}) k group by id_kind, new_id having count(SFDC_LID) > 1"""
+
+
+def _numbered(body: str, order: str) -> str:
+    return f"select *, row_number() over (order by {order}) as place from ({body}) report"
+
+
+def _control_rows(*rows: tuple[int, str]) -> str:
+    values = ", ".join(f"(cast({key} as bigint), 'LOCATION', '{CLIENT_A}', '{project}')" for key, project in rows)
+    return f"""select * from (values {values}) v(MasteredProjetsListKey, masterName, sourceSystem, sourceProject)
+               where sourceProject in (select Project_Name__c from provider)"""
+
+
 def oracle_sql() -> dict[str, str]:
+    report_order = ", ".join(
+        f"{c} nulls first"
+        for c in (
+            "NEW_LID_ALL", "NEW_LID_ADD", "NEW_LID_PHONE", "NEW_LID_ADD_BASE_PHONE", "Location__c", "SFDC_LID",
+            "sfdcLidCreatedDate", "count_sfLid_at_NewLIdAll", "count_sfLid_at_NewLIdAdd",
+            "count_sfLid_at_NewLIdPhone", "count_sfLid_at_NewLIdBasePhone",
+        )
+    )
+    session_golden = golden("Location__c, SFDC_LID, Client_Name__c, Provider_Full_Address__c, count_sfLid_at_NewLId,")
+    removed = f"select * from ({REGIONAL_MAP}) m where Project_Name = '{PROJECT_A}'"
+    remaining = f"select * from ({REGIONAL_MAP}) m where Project_Name <> '{PROJECT_A}'"
+    first, second = golden(source="ra_cand"), golden(source="rb_cand")
+    appended = f"select * from ({second}) s where New_lid_all not in (select NEW_LID_ALL from ra_cand)"
     counts = ", ".join(CHASE_COUNTS)
     session = ", ".join(SESSION_COUNTS)
     session_sums = ", ".join(f"{big(f'sum(p.{c})')} as {c}" for c in SESSION_COUNTS)
@@ -405,7 +451,12 @@ def oracle_sql() -> dict[str, str]:
             FULL_MODE, f"select Location__c, Provider__c, {session} from pair"
         ),
         "c06_classify_retrieval": with_ctes(
-            {}, f"select Id, Location__c, Provider__c, MRT_Name__c, {RETRIEVAL} as Retreival_type from chart"
+            {}, f"select Id, Location__c, Provider__c, MRT_Name__c, {retrieval('MRT_Name__c')} as Retreival_type from chart"
+        ),
+        "c06_classify_every_keyword": with_ctes(
+            {},
+            f"""select Id, MRT_Name__c, {retrieval('MRT_Name__c')} as Retreival_type
+                from (select Id, {KEYWORD_NAMES} as MRT_Name__c from chart) named""",
         ),
         "c07_retrieval_summary": with_ctes(ALL, "select * from retrieval"),
         "c08_appointment_counts": with_ctes(
@@ -424,7 +475,26 @@ def oracle_sql() -> dict[str, str]:
         ),
         "c10_location_candidates": with_ctes(CAND, "select * from cand"),
         "c10_location_candidates_with_contact": with_ctes(SESSION_CAND, "select * from cand"),
+        "c10_location_candidates_raw": with_ctes(
+            {**FULL_MODE, **candidate_cte(mode="full", where=HAS_CONTACT, raw=True)}, "select * from cand"
+        ),
         "c11_merge_report": with_ctes(CAND, REPORT),
+        "c11_merge_report_sorted": with_ctes(
+            CAND, _numbered(REPORT, f"count_sfLid_at_NewLIdAll desc nulls last, {report_order}")
+        ),
+        "c12_location_master_sorted": with_ctes(
+            SESSION_CAND,
+            _numbered(
+                session_golden,
+                "New_lid_all nulls first, Provider_Full_Address__c nulls first, "
+                "coalesce(Phone_1__c, Phone_2__c) nulls first",
+            ),
+        ),
+        "c12_location_master_uncut": with_ctes(
+            CAND,
+            f"""select New_lid_all, round(100.0::double * charts_recovered_at_loc / nullif(charts_numbers_at_loc, 0), 6)
+                         as Percent_of_Charts_Recovered__c from ({golden()}) g""",
+        ),
         "c12_location_master": with_ctes(
             CAND,
             golden(
@@ -437,6 +507,13 @@ def oracle_sql() -> dict[str, str]:
             golden("Location__c, SFDC_LID, Client_Name__c, Provider_Full_Address__c, count_sfLid_at_NewLId,"),
         ),
         "c13_chase_list": with_ctes(CAND, chase()),
+        "c13_chase_list_sorted": with_ctes(CAND, _numbered(chase(), "New_lid_all desc nulls last")),
+        "c13_distinct_chase_map": with_ctes(
+            SESSION_CAND,
+            """select distinct m.NEW_LID_ALL as New_lid_all, p.NPI__c, p.TIN_ID__c, p.f as FULL_ADDRESS,
+                      p.ph as Phone_Number__c
+               from cand m join pair p on m.Location__c = p.Location__c""",
+        ),
         "c13_chase_list_by_provider": with_ctes(
             SESSION_CAND,
             f"""select m.NEW_LID_ALL as New_lid_all, p.NPI__c, p.TIN_ID__c, p.f as FULL_ADDRESS, p.Phone_Number__c,
@@ -452,6 +529,7 @@ def oracle_sql() -> dict[str, str]:
                   select NEW_LID_ALL from cand
                   where Provider_Full_Address__c is not null or coalesce(Phone_1__c, Phone_2__c) is not null)""",
         ),
+        "c15_append_masters_of_next_project": with_ctes(REGIONAL, appended),
         "c16_register_project": with_ctes(
             CONTROL,
             f"""select * from control union all
@@ -470,6 +548,15 @@ def oracle_sql() -> dict[str, str]:
         "c18_undo_project": with_ctes(
             JOBS, f"select * from ({merged_map('a_chase', 'b_chase')}) m where Project_Name <> '{PROJECT_B}'"
         ),
+        "c17_unmaster_regional_remaining": with_ctes(REGIONAL, remaining),
+        "c17_unmaster_regional_archived": with_ctes(REGIONAL, removed),
+        "c18_map_after_adds": with_ctes(REGIONAL, REGIONAL_MAP),
+        "c18_map_after_delete": with_ctes(REGIONAL, remaining),
+        "c18_backup_after_delete": with_ctes(REGIONAL, removed),
+        "c18_control_after_adds": with_ctes({}, _control_rows((1, PROJECT_A), (2, PROJECT_B))),
+        "c18_control_after_delete": with_ctes({}, _control_rows((2, PROJECT_B))),
+        "c18_masters_after_first_add": with_ctes(REGIONAL, first),
+        "c18_masters_after_delete": with_ctes(REGIONAL, f"select * from ({first}) f union all {appended}"),
         "c19_load_npi_registry": with_ctes({}, "select * from registry_file"),
         "c19_rejects": with_ctes(
             {}, "select NPI, NPI || ',unknown' as line from deactivation where cast(NPI as bigint) % 7 = 0"
@@ -508,6 +595,14 @@ def oracle_sql() -> dict[str, str]:
         "c27_active_project_profile": with_ctes(
             {}, f"select Client_Name__c, Project_Name__c, count(*) as count_recs from provider where {ACTIVE} group by all"
         ),
+        "c27_active_project_profile_sorted": with_ctes(
+            {},
+            _numbered(
+                "select Client_Name__c, Project_Name__c, count(*) as count_recs from provider "
+                f"where {ACTIVE} group by all",
+                "Client_Name__c nulls first, Project_Name__c nulls first",
+            ),
+        ),
         "c28_active_providers": with_ctes({}, ACTIVE_LIST),
         "c28_active_providers_of_project": with_ctes({}, f"{ACTIVE_LIST} and Project_Name__c = '{PROJECT_A}'"),
         "c29_provider_vs_registry_address": with_ctes(
@@ -562,6 +657,10 @@ def oracle_sql() -> dict[str, str]:
         "c37_uniqueness_of_junction": _uniqueness("junction", {}),
         "c37_uniqueness_of_links": _uniqueness("links", ALL),
         "c38_merge_reduction": _reduction(),
+        "c38_merged_ids": with_ctes(CAND, _merged_ids()),
+        "c38_merged_ids_sorted": with_ctes(
+            CAND, _numbered(_merged_ids(), "distinct_locations desc nulls last, id_kind nulls first, new_id nulls first")
+        ),
         "c39_junction_rows": with_ctes({}, f"select * from junction where Project_Name__c = '{PROJECT_A}'"),
         "c39_mastered_list": with_ctes(CONTROL, f"select * from control where sourceProject = '{PROJECT_A}'"),
         "c40_chart_counts_at_npi": with_ctes(

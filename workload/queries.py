@@ -15,10 +15,11 @@ from goldkeel.operators import charts as ch
 from goldkeel.operators import counts as co
 from goldkeel.operators import locations as lo
 from goldkeel.operators import profile as pr
+from goldkeel.operators import reports as rp
 from goldkeel.operators import registry as rg
 from goldkeel.operators import state as st
-from goldkeel.operators.chase import chase_list
-from goldkeel.plans.mastering import MAP, Inputs, map_schema, master_project
+from goldkeel.operators.chase import chase_list, distinct_chase_map
+from goldkeel.plans.mastering import BACKUP, CONTROL, MAP, MASTERS, Inputs, map_schema, master_project
 from goldkeel.session import scratch_folder, stage
 from goldkeel.sources.bindings import Bindings
 from goldkeel.sources.npi_files import CORRUPT, DATE_FORMAT, load_deactivations, load_npi_registry
@@ -27,6 +28,7 @@ from workload.names import (
     CHASE_COUNTS,
     CLIENT_A,
     EVEN,
+    KEYWORD_NAMES,
     NPI,
     ODD,
     PROJECT_A,
@@ -51,12 +53,8 @@ def _rows(b: Bindings) -> DataFrame:
     return ch.qualifying_charts(_links(b), b.charts, b.provider)
 
 
-def _pairs(b: Bindings, project_like: str | None = None) -> DataFrame:
-    if project_like is None:
-        return stage(ch.pair_counts(_links(b), b.charts, b.provider), "pairs")
-    links = stage(_links(b, project_like), "links")
-    counts = ch.pair_counts(links, b.charts, b.provider, max_broadcast_links=ch.MAX_BROADCAST_LINKS)
-    return stage(counts, "pairs")
+def _pairs(b: Bindings) -> DataFrame:
+    return stage(ch.pair_counts(_links(b), b.charts, b.provider), "pairs")
 
 
 def _candidates(b: Bindings, **options) -> DataFrame:
@@ -67,15 +65,18 @@ def _session_candidates(b: Bindings) -> DataFrame:
     return _candidates(b, address_mode="full", require_contact=True)
 
 
-def _run(b: Bindings, label: str, project_like: str, require_contact: bool) -> DataFrame:
-    """Chase list of all projects matching a pattern, under one label."""
-    pairs = _pairs(b, project_like)
+def _run(b: Bindings, pairs: DataFrame, label: str, project_like: str, require_contact: bool) -> DataFrame:
+    """Chase list of all projects matching a pattern, under one label, from the
+    counted pairs of all projects."""
+    linked = _links(b, project_like).select(*ch.PAIR)
+    pairs = stage(pairs.join(linked, ch.PAIR, "left_semi"), "pairs")
     found = lo.location_candidates(b.location, ch.retrieval_summary(pairs), require_contact=require_contact)
     return stage(chase_list(found, pairs, label, label), "chase")
 
 
 def _upsert(b: Bindings) -> st.Upsert:
-    return st.accumulate_chase_list(_run(b, EVEN, "%|0", True), _run(b, ODD, "%|1", False))
+    pairs = _pairs(b)
+    return st.accumulate_chase_list(_run(b, pairs, EVEN, "%|0", True), _run(b, pairs, ODD, "%|1", False))
 
 
 def _control(b: Bindings) -> DataFrame:
@@ -140,6 +141,14 @@ def c06_classify_retrieval(b: Bindings) -> DataFrame:
     return ch.classify_retrieval(b.charts).select("Id", *ch.PAIR, "MRT_Name__c", "Retreival_type")
 
 
+@query
+def c06_classify_every_keyword(b: Bindings) -> DataFrame:
+    """Names made of every keyword, in upper and lower case, within other words
+    and with blanks behind."""
+    named = b.charts.withColumn("MRT_Name__c", F.expr(KEYWORD_NAMES))
+    return ch.classify_retrieval(named).select("Id", "MRT_Name__c", "Retreival_type")
+
+
 @query
 def c07_retrieval_summary(b: Bindings) -> DataFrame:
     return ch.retrieval_summary(_pairs(b))
@@ -170,11 +179,22 @@ def c10_location_candidates_with_contact(b: Bindings) -> DataFrame:
     return _session_candidates(b)
 
 
+@query
+def c10_location_candidates_raw(b: Bindings) -> DataFrame:
+    return _candidates(b, address_mode="full", require_contact=True, raw_zip_and_fax=True)
+
+
 @query
 def c11_merge_report(b: Bindings) -> DataFrame:
     return lo.merge_report(_candidates(b))
 
 
+@query
+def c11_merge_report_sorted(b: Bindings) -> DataFrame:
+    report = lo.merge_report(_candidates(b))
+    return rp.numbered_report(report, [F.col("count_sfLid_at_NewLIdAll").desc()])
+
+
 @query
 def c12_location_master(b: Bindings) -> DataFrame:
     return lo.location_master(_candidates(b), with_separators=True)
@@ -185,6 +205,20 @@ def c12_location_master_with_source(b: Bindings) -> DataFrame:
     return lo.location_master(_session_candidates(b), with_source=True)
 
 
+@query
+def c12_location_master_sorted(b: Bindings) -> DataFrame:
+    golden = lo.location_master(_session_candidates(b), with_source=True)
+    phone = F.coalesce("Phone_1__c", "Phone_2__c").asc()
+    return rp.numbered_report(golden, ["New_lid_all", "Provider_Full_Address__c", phone])
+
+
+@query
+def c12_location_master_uncut(b: Bindings) -> DataFrame:
+    golden = lo.location_master(_candidates(b), truncate_percent=False)
+    percent = F.round(F.col("Percent_of_Charts_Recovered__c").cast("double"), 6)
+    return golden.select("New_lid_all", percent.alias("Percent_of_Charts_Recovered__c"))
+
+
 @query
 def c13_chase_list(b: Bindings) -> DataFrame:
     pairs = _pairs(b)
@@ -200,6 +234,20 @@ def c13_chase_list_by_provider(b: Bindings) -> DataFrame:
     return chase_list(found, matrix, by="lid_provider")
 
 
+@query
+def c13_chase_list_sorted(b: Bindings) -> DataFrame:
+    pairs = _pairs(b)
+    listed = chase_list(lo.location_candidates(b.location, ch.retrieval_summary(pairs)), pairs)
+    return rp.numbered_report(listed, ["-New_lid_all"])
+
+
+@query
+def c13_distinct_chase_map(b: Bindings) -> DataFrame:
+    pairs = _pairs(b)
+    found = lo.location_candidates(b.location, ch.retrieval_summary(pairs), "full", require_contact=True)
+    return distinct_chase_map(found, pairs)
+
+
 @query
 def c14_accumulate_chase_list(b: Bindings) -> DataFrame:
     return _upsert(b).target
@@ -216,6 +264,11 @@ def c15_append_masters(b: Bindings) -> DataFrame:
     return st.append_masters(known, lo.location_master(_candidates(b)))
 
 
+@query
+def c15_append_masters_of_next_project(b: Bindings) -> DataFrame:
+    return st.append_masters(*[_regional_masters(b, p) for p in (PROJECT_A, PROJECT_B)])
+
+
 @query
 def c16_register_project(b: Bindings) -> DataFrame:
     control = _control(b)
@@ -238,6 +291,29 @@ def c17_unmaster_control(b: Bindings) -> DataFrame:
     return st.unmaster_project(_control(b), projects, PROJECT_A, CLIENT_A).control
 
 
+def _regional_masters(b: Bindings, project: str) -> DataFrame:
+    links = stage(ch.provider_locations(ch.select_projects(b.provider, project), b.regional_junction), "links")
+    pairs = ch.pair_counts(links, b.charts, b.provider, max_broadcast_links=ch.MAX_BROADCAST_LINKS)
+    return lo.location_master(stage(lo.location_candidates(b.location, ch.retrieval_summary(pairs)), "candidates"))
+
+
+ADDED, REMOVED = 2, 3  # versions of the regional state: both projects, the second alone
+_stores: dict[tuple[str, str], StateStore] = {}
+
+
+def _regional_state(b: Bindings) -> StateStore:
+    """The state after two projects that share some locations were added and
+    the first was deleted; the jobs run once a session."""
+    key = (b.spark.sparkContext.applicationId, b.folder)
+    if key not in _stores:
+        inputs = Inputs(b.provider, b.regional_junction, b.charts, b.location)
+        store = StateStore(b.spark, scratch_folder(b.spark, "state"))
+        for action, project in (("ADD", PROJECT_A), ("ADD", PROJECT_B), ("DELETE", PROJECT_A)):
+            master_project(b.spark, "LOCATION", action, project, inputs, store)
+        _stores[key] = store
+    return _stores[key]
+
+
 def _job(b: Bindings, *steps: tuple[str, str]) -> DataFrame:
     inputs = Inputs(b.provider, b.junction, b.charts, b.location)
     store = StateStore(b.spark, scratch_folder(b.spark, "state"))
@@ -256,6 +332,54 @@ def c18_undo_project(b: Bindings) -> DataFrame:
     return _job(b, ("ADD", PROJECT_A), ("ADD", PROJECT_B), ("DELETE", PROJECT_B))
 
 
+@query
+def c17_unmaster_regional_remaining(b: Bindings) -> DataFrame:
+    chase_map = _regional_state(b).read(MAP, map_schema(b.location), ADDED)
+    return st.unmaster_project(_control(b), chase_map, PROJECT_A, CLIENT_A).chase_map
+
+
+@query
+def c17_unmaster_regional_archived(b: Bindings) -> DataFrame:
+    chase_map = _regional_state(b).read(MAP, map_schema(b.location), ADDED)
+    return st.unmaster_project(_control(b), chase_map, PROJECT_A, CLIENT_A).removed_map
+
+
+@query
+def c18_map_after_adds(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(MAP, map_schema(b.location), ADDED)
+
+
+@query
+def c18_map_after_delete(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(MAP, map_schema(b.location), REMOVED)
+
+
+@query
+def c18_backup_after_delete(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(BACKUP, map_schema(b.location), REMOVED)
+
+
+@query
+def c18_control_after_adds(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(CONTROL, st.CONTROL_SCHEMA, ADDED)
+
+
+@query
+def c18_control_after_delete(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(CONTROL, st.CONTROL_SCHEMA, REMOVED)
+
+
+@query
+def c18_masters_after_first_add(b: Bindings) -> DataFrame:
+    return _regional_state(b).read(MASTERS, version=1)
+
+
+@query
+def c18_masters_after_delete(b: Bindings) -> DataFrame:
+    """Golden records stay when a project goes."""
+    return _regional_state(b).read(MASTERS, version=REMOVED)
+
+
 @query
 def c19_load_npi_registry(b: Bindings) -> DataFrame:
     path = scratch_folder(b.spark, "registry")
@@ -349,6 +473,12 @@ def c27_active_project_profile(b: Bindings) -> DataFrame:
     return pr.active_project_profile(b.provider)
 
 
+@query
+def c27_active_project_profile_sorted(b: Bindings) -> DataFrame:
+    profile = pr.active_project_profile(b.provider)
+    return rp.numbered_report(profile, ["Client_Name__c", "Project_Name__c"])
+
+
 @query
 def c28_active_providers(b: Bindings) -> DataFrame:
     return pr.active_providers(b.provider)
@@ -436,6 +566,16 @@ def c38_merge_reduction(b: Bindings) -> DataFrame:
     return lo.merge_reduction(_candidates(b))
 
 
+@query
+def c38_merged_ids(b: Bindings) -> DataFrame:
+    return lo.merged_ids(_candidates(b))
+
+
+@query
+def c38_merged_ids_sorted(b: Bindings) -> DataFrame:
+    return rp.numbered_report(lo.merged_ids(_candidates(b)), [-4, 1, 2])
+
+
 @query
 def c39_junction_rows(b: Bindings) -> DataFrame:
     return st.junction_rows(b.junction, PROJECT_A)
