@@ -15,6 +15,8 @@ of them: a collision lets a phrase be counted in vain, none is ever missed.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,38 +32,53 @@ LOTS = 64  # parts of a language that are ranked before the language is
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(text, r"[\x20\x09]+"), lambda w: w != "")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out only once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _chunks(piece: Column, spacing: int, farthest: int) -> Column:
+    """The chunks of a piece of more than ``spacing`` words."""
+
+    def cut(words: Column) -> Column:
+        size = F.size(words)
+
+        def is_cut(i: Column) -> Column:
+            next_words = [F.get(words, i + k) for k in range(AHEAD)]
+            triggered = (i + AHEAD <= size) & (F.pmod(F.xxhash64(*next_words), F.lit(spacing)) == 0)
+            return (i == 0) | (i % farthest == 0) | triggered
+
+        starts = F.filter(F.sequence(F.lit(0), size - 1), is_cut)
+        return _let(F.concat(starts, F.array(size)), lambda edges: held(words, edges))
+
+    def held(words: Column, edges: Column) -> Column:
+        def chunk(start: Column, n: Column) -> Column:
+            owned = F.get(edges, n + 1) - start
+            text = F.array_join(F.slice(words, start + 1, owned + AHEAD), " ")
+            return F.struct(text.alias("chunk"), owned.alias("owned"))
+
+        return F.transform(F.slice(edges, 1, F.size(edges) - 1), chunk)
+
+    return _let(F.split(piece, " "), cut)
 
 
 def chunk_dictionary(
     docs: DataFrame, text: str = "text", lang: str = "lang", spacing: int = SPACING, farthest: int = FARTHEST
 ) -> DataFrame:
     """(lang, chunk, owned, times): each distinct chunk, the number of its words
-    at which phrases start, and how often it was parsed."""
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER, LOWER)
+    at which phrases start, and how often it was parsed. A piece of no more
+    than ``spacing`` words is one chunk."""
+    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER + "\t", LOWER + " ")
+    single = F.regexp_replace(lowered, "  +", " ")
     pieces = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-        F.explode(F.split(lowered, r"[.,;:!?\x0A-\x0D]")).alias("piece"),
-    )
-    words = pieces.select("lang", _words(F.col("piece")).alias("words")).where(F.size("words") > 0)
-    size = F.size("words")
-
-    def is_cut(i: Column) -> Column:
-        next_words = [F.get("words", i + k) for k in range(AHEAD)]
-        triggered = (i + AHEAD <= size) & (F.pmod(F.xxhash64(*next_words), F.lit(spacing)) == 0)
-        return (i == 0) | (i % farthest == 0) | triggered
-
-    cuts = F.when(size <= spacing, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), size - 1), is_cut))
-    spans = F.transform("cuts", lambda cut, i: F.struct(cut.alias("start"), F.get("cuts", i + 1).alias("next")))
-    placed = words.withColumn("cuts", cuts).select("lang", "words", F.explode(spans).alias("span"))
-    owned = F.coalesce("span.next", size) - F.col("span.start")
-    chunk = F.array_join(F.slice("words", F.col("span.start") + 1, owned + AHEAD), " ")
-    return (
-        placed.select("lang", chunk.alias("chunk"), owned.alias("owned"))
-        .groupBy("lang", "chunk", "owned")
-        .agg(F.count(F.lit(1)).alias("times"))
+        F.explode(F.split(single, r"[.,;:!?\x0A-\x0D]")).alias("piece"),
     )
+    pieces = pieces.select("lang", F.trim("piece").alias("piece")).where("piece <> ''")
+    size = F.length("piece") - F.length(F.translate("piece", " ", "")) + 1
+    whole = F.array(F.struct(F.col("piece").alias("chunk"), size.alias("owned")))
+    parts = F.when(size <= spacing, whole).otherwise(_chunks(F.col("piece"), spacing, farthest))
+    return pieces.select("lang", F.inline(parts)).groupBy("lang", "chunk", "owned").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _slot(words: list[Column], slots: int) -> Column:
