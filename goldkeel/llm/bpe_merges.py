@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import json
 from array import array
 
@@ -19,6 +20,7 @@ import regex
 
 NONE = np.iinfo(np.int32).max
 WIDTH = 20  # bits of a symbol in a pair's key
+LONG = 512  # symbols from which on a sequence is merged by itself
 
 
 class Merges:
@@ -75,7 +77,63 @@ class Merges:
         """(symbols of all pieces in order, number of symbols of each piece)."""
         data = self.symbols[np.frombuffer(b"".join(pieces), np.uint8)]
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        return self.merge(data, sizes)
+        if len(sizes) == 0 or sizes.max() <= LONG:
+            return self.merge(data, sizes)
+        ends = np.cumsum(sizes)
+        out = [np.zeros(0, np.int64)] * len(sizes)
+        short = np.flatnonzero(sizes <= LONG)
+        for i in np.flatnonzero(sizes > LONG):
+            out[i] = self.merge_long(data[ends[i] - sizes[i] : ends[i]])
+        symbols, counts = self.merge(data[np.repeat(sizes <= LONG, sizes)], sizes[short])
+        at = np.cumsum(counts)
+        for i, end, count in zip(short.tolist(), at.tolist(), counts.tolist(), strict=True):
+            out[i] = symbols[end - count : end]
+        return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
+
+    def merge_long(self, data: np.ndarray) -> np.ndarray:
+        """The symbols of one long sequence. Live pairs are held by their rank;
+        a step applies the lowest one wherever it stands and ranks anew only
+        the pairs beside these places, so a step costs what it changes."""
+        n = len(data)
+        symbol, alive = data.copy(), np.ones(n, bool)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank, made = np.full(n, NONE, np.int64), np.zeros(n, np.int64)
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def rate(places: np.ndarray) -> None:
+            rank[places] = NONE
+            places = places[after[places] < n]
+            keys = symbol[places] << WIDTH | symbol[after[places]]
+            found = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            known = self.keys[found] == keys
+            places, found = places[known], found[known]
+            rank[places], made[places] = self.ranks[found], self.merged[found]
+            places = places[np.argsort(rank[places], kind="stable")]
+            firsts = np.flatnonzero(np.append(True, np.diff(rank[places]) > 0)) if len(places) else []
+            for some in np.split(places, firsts[1:]) if len(places) else []:
+                lowest = int(rank[some[0]])
+                if lowest not in waiting:
+                    waiting[lowest] = []
+                    heapq.heappush(ranks, lowest)
+                waiting[lowest].append(some)
+
+        if len(self.keys):
+            rate(np.arange(n))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(waiting.pop(lowest)))
+            places = places[alive[places] & (rank[places] == lowest)]
+            if not len(places):
+                continue
+            hits = _every_second(places, np.append(True, after[places[:-1]] != places[1:]))
+            gone = after[hits]
+            symbol[hits], alive[gone], rank[gone] = made[hits], False, NONE
+            after[hits] = after[gone]
+            inside = after[hits] < n
+            before[after[hits][inside]] = hits[inside]
+            rate(np.unique(np.concatenate([hits, before[hits][before[hits] >= 0]])))
+        return symbol[alive]
 
     def merge(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -98,9 +156,7 @@ class Merges:
             if not len(run):
                 data = data[:0]
                 break
-            begins = np.append(True, np.diff(run) > 1)
-            since = run - run[np.maximum.accumulate(np.where(begins, np.arange(len(run)), 0))]
-            run = run[since % 2 == 0]
+            run = _every_second(run, np.append(True, np.diff(run) > 1))
             data[run] = self.merged[place[run]]
             keep = ~over
             keep[run + 1] = False
@@ -115,6 +171,13 @@ class Merges:
         return symbols, np.bincount(owners, minlength=len(sizes))
 
 
+def _every_second(places: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """The first, third and so on of each run of adjoining places."""
+    number = np.arange(len(places))
+    since = number - np.maximum.accumulate(np.where(begins, number, 0))
+    return places[since % 2 == 0]
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldkeel.llm.bpe_merges import Merges, PieceCache, spellings_of, splitter
-from goldkeel.llm.common import text_or_empty
+from goldkeel.llm.common import columns, fresh, text_or_empty
 from goldkeel.llm.token_counts import slices
 
 CHUNK = 32_768  # characters a chunk begins after the one before
@@ -141,15 +141,16 @@ def encode(
     back by the text's SHA-256. Rows, ids and repeats stay as they are; the
     new column must not exist yet.
     """
-    whole = docs.withColumn("_whole", text_or_empty(text))
-    is_long = F.length("_whole") > step
-    short = whole.where(~is_long).withColumn(to, encode_short(F.col("_whole"), ranks, pattern)).drop("_whole")
-    keyed = whole.where(is_long).withColumn("_key", F.sha2("_whole", 256))
-    texts = keyed.groupBy(F.col("_key").alias("key")).agg(F.first("_whole").alias("text"))
-    found = _encode_long(texts, ranks, pattern, step, overlap).toDF("_key", "_ids")
-    long = keyed.join(found, "_key")
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    return short.select(*kept, to).unionByName(long.select(*kept, F.col("_ids").alias(to)))
+    held, key, ids = fresh("whole", docs), fresh("text_key", docs), fresh("found_ids", docs)
+    whole = docs.withColumn(held, text_or_empty(text))
+    is_long = F.length(held) > step
+    short = whole.where(~is_long).withColumn(to, encode_short(F.col(held), ranks, pattern))
+    keyed = whole.where(is_long).withColumn(key, F.sha2(held, 256))
+    texts = keyed.groupBy(F.col(key).alias("key")).agg(F.first(held).alias("text"))
+    found = _encode_long(texts, ranks, pattern, step, overlap).toDF(key, ids)
+    long = keyed.join(found, key)
+    kept = columns(docs)
+    return short.select(*kept, to).unionByName(long.select(*kept, F.col(ids).alias(to)))
 
 
 def decode(ids: Column, ranks: str) -> Column:

@@ -26,5 +26,18 @@ def sampled(rows: DataFrame, key: str, most: int, seed: str) -> DataFrame:
     total = rows.count()
     if total <= most:
         return rows
-    share = most / total
-    return rows.where(F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000)) < int(share * 1_000_000))
+    lots = 1 << 62
+    return rows.where(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 2) < most * lots // total)
+
+
+def fresh(name: str, df: DataFrame) -> str:
+    """A column name that the table does not have yet, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns, of whatever names."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]

@@ -7,15 +7,19 @@ text and passages share are counted in bands of diagonals, each 2 k wide and
 overlapping the next by half: every such place lies within one band whole. Bands
 that reach the bound are regions to verify by an alignment within the band.
 Nothing is missed, and what is returned does meet the edit budget. Passages too
-short for that bound take shorter q-grams, and those whose budget is no edit are
-found by one automaton, so that each non-empty passage has its full budget.
+short for that bound take shorter q-grams, so that each non-empty passage has
+its full budget. Those whose budget is no edit are found by one automaton, as
+whole words: a passage of a letter or two is not meant by its place in others.
 
 The passages are a stated query set. They are looked up in blocks of bounded
-size, each sent to all tasks in turn; texts never move.
+size: what the texts hold of one block is written before the next is read, so
+that driver and tasks hold one block at a time.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -25,6 +29,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldkeel.llm.common import columns, fresh
+from goldkeel.session import stage
+
 WIDTHS = (8, 4)  # of q-grams; 4 leaves a bound above zero to all passages with a budget
 EDITS = 0.1  # edits for each character of a passage, at most
 BLOCK_CHARS = 1_000_000  # of passages looked up at a time
@@ -112,10 +119,22 @@ class Exact:
         if not len(self.automaton):
             return []
         return [
-            (i, last + 1 - size, last + 1, 0) for last, (size, ids) in self.automaton.iter(text) for i in ids
+            (i, last + 1 - size, last + 1, 0)
+            for last, (size, ids) in self.automaton.iter(text)
+            if not (_one_word(text, last + 1 - size) or _one_word(text, last + 1))
+            for i in ids
         ]
 
 
+def _one_word(text: str, place: int) -> bool:
+    """Whether a place has letters or digits of one word on both sides. Scripts
+    from U+2E80 on are mostly written without blanks; there it never has."""
+    if not 0 < place < len(text):
+        return False
+    a, b = text[place - 1], text[place]
+    return a.isalnum() and b.isalnum() and a < "\u2e80" and b < "\u2e80"
+
+
 class Block:
     """Passages with an index of their q-grams of one width."""
 
@@ -248,12 +267,13 @@ def _best(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int,
     return sorted((item, *place) for item, places in kept.items() for place in places)
 
 
-def _blocks(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    """The passages in blocks that hold about ``BLOCK_CHARS`` characters."""
+def _blocks(benchmark: DataFrame, id: str, text: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
+    """The passages in blocks that hold about so many characters, collected one
+    at a time."""
     rows = benchmark.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null")
     rows = rows.where(F.length("text") > 0)
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = max(1, -(-chars // BLOCK_CHARS))
+    parts = max(1, -(-chars // block_chars))
     for part in range(parts):
         chosen = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == part)
         yield [tuple(r) for r in chosen.distinct().orderBy("id", "text").collect()]
@@ -289,13 +309,35 @@ FIELDS = ("item_id", "start", "end", "edits")
 
 
 def with_matches(
-    docs: DataFrame, benchmark: DataFrame, to: str, text: str = "text", item_id: str = "item_id", item_text: str = "text"
+    docs: DataFrame,
+    benchmark: DataFrame,
+    to: str,
+    text: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """Add the array of matches. Null and empty texts hold none; passages that
-    are null, blank or without an id are not looked for; of equal passages each
-    id is reported. An empty benchmark matches nothing."""
-    columns = [matches_in(F.col(text), items) for items in _blocks(benchmark, item_id, item_text)]
-    return docs.withColumn(to, F.concat(*columns) if len(columns) > 1 else columns[0])
+    """Add the array of matches. Null and empty texts hold none, very long ones
+    are searched whole; passages that are null, blank or without an id are not
+    looked for; of equal passages each id is reported. An empty benchmark
+    matches nothing. Other columns may have any name but ``to``."""
+    blocks = _blocks(benchmark, item_id, item_text, block_chars)
+    first = next(blocks)
+    second = next(blocks, None)
+    if second is None:
+        return docs.withColumn(to, matches_in(F.col(text), first))
+    parts = []
+    for items in itertools.chain([first, second], blocks):
+        held = docs.select(F.sha2(text, 256).alias("key"), F.col(text).alias("text")).dropna()
+        held = held.select("key", matches_in(F.col("text"), items).alias("found")).where(F.size("found") > 0)
+        parts.append(stage(held.dropDuplicates(["key"]), "matches"))
+    # All matches of one text; few texts have any.
+    key, found = fresh("text_key", docs), fresh("found", docs)
+    every = functools.reduce(DataFrame.unionByName, parts).groupBy(F.col("key").alias(key))
+    every = every.agg(F.flatten(F.collect_list("found")).alias(found))
+    none = F.expr(f"cast(array() as {MATCHES})")
+    joined = docs.withColumn(key, F.sha2(text, 256)).join(every, key, "left")
+    return joined.select(*columns(docs), F.coalesce(found, none).alias(to))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

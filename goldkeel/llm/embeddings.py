@@ -29,7 +29,8 @@ COSINE = 0.98
 BLOCK = 512  # vectors on each side of a product
 SAMPLE_PER_CELL = 24  # vectors the centroids are fitted on, for each cell
 ROUNDS = 5
-ROWS = 1024  # vectors assigned at a time
+CELLS = 4096  # of centroids, which go to every task; with more vectors cells have more blocks
+ROWS = 1024  # vectors assigned at a time, fewer if there are many cells
 SLACK = 1e-9
 
 
@@ -95,8 +96,9 @@ def _meetings(classes: DataFrame, centroids: np.ndarray, cosine: float) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for low in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(low, ROWS)
+            step = max(16, min(ROWS, (1 << 20) // len(centroids)))
+            for low in range(0, whole.num_rows, step):
+                batch = whole.slice(low, step)
                 row, cell = visits(unit_rows(batch.column("vector"), width), centroids, chord)
                 firsts = np.searchsorted(row, row)  # where a row's visits begin
                 earlier = [cell[a:b].astype(np.int32) for a, b in zip(firsts, range(len(row)), strict=True)]
@@ -187,6 +189,7 @@ def near_duplicates(
     label: str = "label",
     cosine: float = COSINE,
     block: int = BLOCK,
+    cells: int = CELLS,
 ) -> DataFrame:
     """(id, ``n_links``, ``component_id``, ``kept``) of every row.
 
@@ -210,7 +213,7 @@ def near_duplicates(
     total, width = classes.agg(F.count(F.lit(1)), F.max("dims")).first()
     found = None
     if total:
-        centroids = fit_centroids(classes, math.ceil(math.sqrt(total)), width)
+        centroids = fit_centroids(classes, min(cells, math.ceil(math.sqrt(total))), width)
         found = stage(near_links(classes, centroids, cosine, block), "links")
     else:
         found = vectors.sparkSession.createDataFrame([], "rep long, links long, least long")

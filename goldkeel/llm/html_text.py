@@ -44,6 +44,12 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+# Attributes of an element that is not shown.
+UNSEEN = re.compile(
+    r"""(?:^|\s)(?:hidden(?=[\s=/]|$)(?!\s*=\s*["']?until-found)|aria-hidden\s*=\s*["']?true|"""
+    r"""style\s*=\s*(?:"[^"]*|'[^']*)\bdisplay\s*:\s*none)""",
+    re.I,
+)
 PART = re.compile(r"[a-z]+")
 CLOSING = {name: re.compile(f"</{name}", re.I) for name in RAW}
 
@@ -93,12 +99,13 @@ def pieces(page: str) -> Iterator[Piece]:
     A closing tag closes what is open within its element; without an open
     element it closes nothing. Contents of hidden elements are left out. A tag
     or comment that never ends is the end of the page. A piece's elements are
-    complete only when the page is read to its end.
+    complete only when the page is read to its end. An element that is hidden by
+    an attribute is left out with all it holds.
     """
     stack: list[Element] = []
     depths: Counter = Counter()  # open elements by name
     around: tuple[Element, ...] = ()
-    at, hidden = 0, ""
+    at, hidden, depth = 0, "", 0
     for token in TOKEN.finditer(page):
         if token.start() < at:
             continue
@@ -110,9 +117,12 @@ def pieces(page: str) -> Iterator[Piece]:
         name = (token["name"] or "").lower()
         if not name:
             continue
+        if hidden == "head" and name == "body":
+            hidden = ""
         if hidden:
-            if token["close"] and name == hidden:
-                hidden = ""
+            if name == hidden and not token["rest"].endswith("/"):
+                depth += -1 if token["close"] else 1
+                hidden = hidden if depth else ""
             continue
         if token["close"]:
             changed = False
@@ -135,8 +145,9 @@ def pieces(page: str) -> Iterator[Piece]:
         if name in HEADED:
             for element in around:
                 element.holds = True
-        if name in HIDDEN:
-            hidden = name
+        if name in HIDDEN or name not in VOID and UNSEEN.search(token["rest"]):
+            hidden, depth = name, int(not token["rest"].endswith("/"))
+            hidden = hidden if depth else ""
         elif name not in VOID and (features or name not in INLINE and name != "p"):
             stack.append(Element(name, features))
             depths[name] += 1
@@ -252,7 +263,9 @@ def main_text(page: str | None, weights: Weights = WEIGHTS) -> str:
     blocks: list[list[str]] = [[]]
     for piece, value in scored[begin:end]:
         if piece.tag:
-            if piece.tag.lstrip("/") not in INLINE:
+            if piece.tag.lstrip("/") == "br":
+                blocks[-1].append(" ")
+            elif piece.tag.lstrip("/") not in INLINE:
                 blocks.append([])
         elif value >= 0:
             blocks[-1].append(html.unescape(piece.text))
@@ -272,6 +285,8 @@ def content(column: Column) -> Column:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every row; repeated rows and null ids
-    and urls stay as they are, other columns are not read."""
+    and urls stay as they are, other columns are not read. A null or empty page
+    has an empty text, very long pages are read whole. Of regions that score
+    alike the first counts. An empty table gives none."""
     found = pages.select("page_id", "url", content(F.col("html")).alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))

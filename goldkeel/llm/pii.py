@@ -18,7 +18,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldkeel.llm.common import columns, fresh
+
 SPAN = "struct<kind: string, start: int, end: int, score: double>"
+RUN = 256  # places of an array that are summed up by themselves
+PIECE = 4096  # characters of a text that is taken apart to be masked
 NEARBY = 40  # characters before and after a span in which context words count
 ACCEPT = 0.5
 CONTEXT = 0.3  # what a context word adds to the score
@@ -109,35 +113,89 @@ MORE = (
 )
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out only once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """What an array of ints comes to up to each of its places, from 0 on.
+
+    Appending to an array copies it, so runs of ``RUN`` places are combined by
+    themselves, then the runs likewise, and each run goes on from the one before.
+    """
+    none = F.expr("cast(array() as array<int>)")
+
+    def plainly(run: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            return _let(
+                combine(acc["last"], x),
+                lambda v: F.struct(v.alias("last"), F.concat(acc["found"], F.array(v)).alias("found")),
+            )
+
+        return F.aggregate(run, F.struct(F.lit(0).alias("last"), none.alias("found")), step, lambda acc: acc["found"])
+
+    if levels == 0:
+        return plainly(values)
+
+    def joined(runs: Column) -> Column:
+        lasts = F.transform(runs, lambda r: F.element_at(r, -1))
+        before = F.concat(F.array(F.lit(0)), running(lasts, combine, levels - 1))
+        return F.flatten(
+            F.zip_with(
+                runs,
+                F.slice(before, 1, F.size(runs)),
+                lambda run, last: F.transform(run, lambda x: combine(last, x)),
+            )
+        )
+
+    def by_runs(whole: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(whole), F.lit(RUN))
+        runs = F.transform(starts, lambda n: plainly(F.slice(whole, n, RUN)))
+        return F.when(F.size(whole) == 0, none).otherwise(_let(runs, joined))
+
+    return _let(values, by_runs)
+
+
 def _spans(text: Column, kind: Kind, matches: Column) -> Column:
-    """Confirmed spans of a kind, in order of their start."""
-    gaps = F.split(text, kind.pattern, -1)
+    """Confirmed spans of a kind, in order of their start. A match's context is
+    the end of the gap before it and the beginning of the one behind."""
     none = F.expr(f"cast(array() as array<{SPAN}>)")
-    # One argument that holds all a step needs: it is worked out only once.
-    around = F.zip_with(gaps, matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    begin = F.struct(
-        F.lit(0).alias("at"), F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("before"),
-        F.lit(False).alias("open"), none.alias("found"),
-    )
-
-    def step(acc: Column, x: Column) -> Column:
-        # A match waits for the gap behind it, whose beginning is its context.
-        near = F.lower(F.concat(acc["before"], F.lit(" "), F.substring(x["gap"], 1, NEARBY)))
+    held = F.struct(F.split(text, kind.pattern, -1).alias("gaps"), matches.alias("matches"))
+
+    def found(x: Column) -> Column:
+        n = F.size(x["matches"])
+        sizes = F.zip_with(
+            F.slice(x["gaps"], 1, n), x["matches"], lambda gap, match: F.length(gap) + F.length(match)
+        )
+        ends = running(sizes, lambda a, b: a + b)
+        placed = F.zip_with(x["matches"], ends, lambda match, end: F.struct(match.alias("match"), end.alias("end")))
+        context = F.zip_with(
+            F.slice(x["gaps"], 1, n),
+            F.slice(x["gaps"], 2, n),
+            lambda before, behind: F.concat(
+                F.right(before, F.lit(NEARBY)), F.lit(" "), F.substring(behind, 1, NEARBY)
+            ),
+        )
+        around = F.zip_with(
+            placed,
+            context,
+            lambda m, near: F.struct(m["match"].alias("match"), m["end"].alias("end"), near.alias("near")),
+        )
+        return F.transform(F.filter(around, lambda m: kind.confirm(m["match"])), span)
+
+    def span(m: Column) -> Column:
+        near = F.lower(m["near"])
         support = F.lit(False)
         for word in WORDS[kind.name]:
             support = support | near.contains(word)
         score = F.lit(kind.score) + F.when(support, F.lit(CONTEXT)).otherwise(F.lit(0.0))
-        span = F.struct(F.lit(kind.name).alias("kind"), acc["start"], acc["end"], score.alias("score"))
-        found = F.when(acc["open"], F.concat(acc["found"], F.array(span))).otherwise(acc["found"])
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-        confirmed = F.when(x["match"].isNotNull(), kind.confirm(x["match"])).otherwise(F.lit(False))
+        start = m["end"] - F.length(m["match"])
         return F.struct(
-            end.alias("at"), start.alias("start"), end.alias("end"), F.right(x["gap"], F.lit(NEARBY)).alias("before"),
-            confirmed.alias("open"), found.alias("found"),
-        )
+            F.lit(kind.name).alias("kind"), start.alias("start"), m["end"].alias("end"), score.alias("score")
+        )
 
-    return F.when(F.size(matches) > 0, F.aggregate(around, begin, step, lambda acc: acc["found"])).otherwise(none)
+    return F.when(F.size(matches) > 0, _let(held, found)).otherwise(none)
 
 
 def with_spans(docs: DataFrame, text: str = "text", base_name: str = "base_spans", name: str = "spans") -> DataFrame:
@@ -149,18 +207,19 @@ def with_spans(docs: DataFrame, text: str = "text", base_name: str = "base_spans
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     found = docs
+    match_names = {kind: fresh(f"{kind.name}_matches", docs) for kind in (*BASE, *MORE)}
+    span_names = {kind: fresh(f"{kind.name}_spans", docs) for kind in (*BASE, *MORE)}
     for kind in (*BASE, *MORE):
         all_matches = F.regexp_extract_all(whole, F.lit(kind.pattern), F.lit(0))
         none = F.expr("cast(array() as array<string>)")
         matches = F.when(whole.contains(kind.sign), all_matches).otherwise(none) if kind.sign else all_matches
-        found = found.withColumn(f"_{kind.name}_matches", matches)
+        found = found.withColumn(match_names[kind], matches)
     for kind in (*BASE, *MORE):
-        spans = _spans(whole, kind, F.col(f"_{kind.name}_matches"))
-        found = found.withColumn(f"_{kind.name}", spans)
-    base = F.concat(*[F.col(f"_{k.name}") for k in BASE])
-    more = F.filter(F.concat(*[F.col(f"_{k.name}") for k in MORE]), lambda s: s["score"] >= ACCEPT)
-    kept = [F.col(f"`{c}`") for c in docs.columns]
-    return found.select(*kept, base.alias(base_name), F.concat(base, more).alias(name))
+        spans = _spans(whole, kind, F.col(match_names[kind]))
+        found = found.withColumn(span_names[kind], spans)
+    base = F.concat(*[F.col(span_names[k]) for k in BASE])
+    more = F.filter(F.concat(*[F.col(span_names[k]) for k in MORE]), lambda s: s["score"] >= ACCEPT)
+    return found.select(*columns(docs), base.alias(base_name), F.concat(base, more).alias(name))
 
 
 def _count(spans: str, kind: str) -> Column:
@@ -194,19 +253,46 @@ def masked(docs: DataFrame, text: str = "text", passes: int = 2) -> DataFrame:
 
 
 def _masked_once(docs: DataFrame, text: str) -> DataFrame:
-    found = with_spans(docs, text, "_base_spans", "_spans")
-    ordered = F.array_sort("_spans", lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(0))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("parts"))
-
-    def step(acc: Column, span: Column) -> Column:
-        mark = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        between = F.substring(text, acc["at"] + 1, span["start"] - acc["at"])
-        inside = (span["start"] < acc["at"]) & (F.size(acc["parts"]) > 0)
-        parts = F.when(inside, acc["parts"]).otherwise(F.concat(acc["parts"], F.array(between, mark)))
-        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), parts.alias("parts"))
-
-    rest = lambda acc: F.array_join(
-        F.concat(acc["parts"], F.array(F.substring(F.col(text), acc["at"] + 1, F.length(text)))), ""
-    )
-    clean = F.when(F.size("_spans") > 0, F.aggregate(ordered, start, step, rest)).otherwise(F.col(text))
-    return found.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    base, spans = fresh("base", docs), fresh("all_spans", docs)
+    found = with_spans(docs, text, base, spans)
+    ordered = F.array_sort(spans, lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(0))
+    # The text in pieces of ``PIECE`` characters, so that none is sought from the beginning.
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    held = F.struct(ordered.alias("spans"), pieces.alias("pieces"))
+
+    def clean(x: Column) -> Column:
+        ends = F.transform(x["spans"], lambda s: s["end"])
+        covered = running(ends, F.greatest)
+        known = F.struct(x["spans"].alias("spans"), x["pieces"].alias("pieces"), covered.alias("covered"))
+        return _let(known, marked)
+
+    def marked(x: Column) -> Column:
+        before = F.slice(F.concat(F.array(F.lit(0)), x["covered"]), 1, F.size(x["spans"]))
+        # A span that begins where others still reach has no mark of its own.
+        first = F.filter(
+            F.zip_with(
+                x["spans"],
+                before,
+                lambda s, at: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), at.alias("at")),
+            ),
+            lambda s: s["start"] >= s["at"],
+        )
+        parts = F.transform(
+            first,
+            lambda s: F.concat(_between(x["pieces"], s["at"], s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]")),
+        )
+        rest = _between(x["pieces"], F.element_at(x["covered"], -1), F.lit(PIECE) * F.size(x["pieces"]))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    masks = F.when(F.size(spans) > 0, _let(held, clean)).otherwise(F.col(text))
+    return found.withColumn(text, masks).select(*columns(docs))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` of a text cut into pieces."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor(end / PIECE).cast("int")
+    inside = F.substring(F.get(pieces, first), start % PIECE + 1, end - start)
+    head = F.substring(F.get(pieces, first), start % PIECE + 1, F.lit(PIECE))
+    whole = F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+    tail = F.coalesce(F.substring(F.get(pieces, last), F.lit(1), end % PIECE), F.lit(""))
+    return F.coalesce(F.when(first == last, inside).otherwise(F.concat(F.coalesce(head, F.lit("")), whole, tail)), F.lit(""))

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldkeel.llm.components import connected_components
+from goldkeel.operators.groups import broadcast_if_small
 from goldkeel.session import stage
 
 # Fixed values of the binary Golay code: length, covering radius and the
@@ -41,7 +42,8 @@ SEED = 42  # of XXH64
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 CHUNK = 1 << 16  # shingles hashed at a time
-BLOCK = 4096  # arrivals compared in one group, at least
+BLOCK = 4096  # arrivals of an anchor that are compared in one group
+MAX_SPLIT = 100_000  # split anchors whose list goes to every task; a longer one is joined by a shuffle
 
 
 def simhash(text: str | None, words: int = SHINGLE_WORDS) -> int:
@@ -213,18 +215,19 @@ def _compare(visits: DataFrame, max_bits: int) -> DataFrame:
         kept = None
         for batch in batches:
             now = [batch.column(n).to_numpy(zero_copy_only=False) for n in ("anchor", "pair", "fp", "rep")]
-            now = [now[0].astype(np.int64) << 32 | now[1], now[2], now[3]]
             if kept is not None:
                 now = [np.concatenate(x) for x in zip(kept, now, strict=True)]
-            # The last run may go on in the next batch.
-            end = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+            anchor, pair = now[:2]
+            # Runs of one anchor and pair, numbered; the last may go on in the next batch.
+            run_no = np.cumsum(np.append(0, (anchor[1:] != anchor[:-1]) | (pair[1:] != pair[:-1])))
+            run_no = run_no[: len(anchor)]
+            end = int(np.searchsorted(run_no, run_no[-1])) if len(anchor) else 0
             if end:
-                yield links(*(x[:end] for x in now))
+                yield links(run_no[:end], *(x[:end] for x in now[2:]))
             kept = [x[end:] for x in now]
         if kept is not None and len(kept[0]):
-            yield links(*kept)
+            yield links(np.zeros(len(kept[0]), np.int64), *kept[2:])
 
-    # By one number, as sorted order must be that of the combined key.
     dealt = visits.repartition("anchor", "pair").sortWithinPartitions("anchor", "pair")
     return dealt.mapInArrow(run, "a long, b long")
 
@@ -234,22 +237,19 @@ def near_links(classes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK)
     distinct fingerprints ``fp``, enough to reach whatever is reachable over
     links of at most ``max_bits`` differing bits.
 
-    An anchor is split when it gets more than ``block`` arrivals, or more than
-    a thousandth of the number of classes. Since a class visits a bounded
-    number of anchors (about 60 for 4 bits), that leaves at most some 60,000
-    split anchors, whose list may be broadcast.
+    An anchor with more than ``block`` arrivals is split into blocks of about
+    that size, so no group grows with the data. The list of split anchors is
+    broadcast only if it is counted to be short.
     """
-    total = classes.count()
-    limit = max(block, total // 1000)
     visits = _visits(classes, max_bits)
-    split = visits.groupBy("anchor").count().where(F.col("count") > limit)
-    split = stage(split.select("anchor", F.ceil(F.col("count") / limit).cast("int").alias("blocks")), "split")
-    marked = visits.join(F.broadcast(split), "anchor", "left")
+    split = visits.groupBy("anchor").count().where(F.col("count") > block)
+    split = stage(split.select("anchor", F.ceil(F.col("count") / block).cast("int").alias("blocks")), "split")
+    marked = visits.join(broadcast_if_small(split, MAX_SPLIT), "anchor", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     own = F.pmod(F.xxhash64("fp"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
     paired = marked.select("anchor", "fp", "rep", own.alias("own"), other)
-    pair = F.least("own", "other") * 32768 + F.greatest("own", "other")
+    pair = F.least("own", "other").cast("long") * (1 << 31) + F.greatest("own", "other")
     return _compare(paired.select("anchor", pair.alias("pair"), "fp", "rep"), max_bits)
 
 
@@ -264,18 +264,37 @@ def near_duplicates(
     """One row per row of ``docs``: id, ``fp`` (signed long), ``component_id``,
     the smallest id reachable over fingerprints at up to ``max_bits`` bits.
 
-    Empty and null texts have fingerprint zero and link like any other. Repeated
-    rows stay. A row with a null id links nothing and has a null component. Of
-    ``docs`` only the two named columns are read. An empty table gives none.
+    Empty and null texts have fingerprint zero and link like any other; very
+    long texts are read whole. Repeated rows stay. Fingerprints are what links:
+    rows that share an id but are not near belong to components of their own. A
+    row with a null id links nothing and has a null component. Of ``docs`` only
+    the two named columns are read. An empty table gives none.
     """
+    return grouped(docs, id, text, words, max_bits, block).drop("group")
+
+
+def grouped(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The same rows, with ``group``, a name no other component has: two of
+    them may have one smallest id if ids repeat."""
     chosen = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     rows = stage(fingerprints(chosen, "text", words).drop("text"), "fingerprints")
     named = rows.where("id is not null")
-    classes = stage(named.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
+    smallest = named.groupBy("fp").agg(F.min("id").alias("least"))
+    # A class is named by its fingerprint, as ids may repeat.
+    classes = stage(smallest.withColumn("rep", F.col("fp")), "classes")
     found = connected_components(near_links(classes, max_bits, block))
-    named_classes = classes.join(found, classes.rep == found.node, "left").select(
-        classes.fp, F.coalesce("component", "rep").alias("component")
+    placed = classes.join(found, classes.rep == found.node, "left").select(
+        "fp", "least", F.coalesce("component", "rep").alias("group")
     )
-    joined = rows.join(named_classes, "fp", "left")
+    placed = stage(placed, "groups")
+    components = placed.groupBy("group").agg(F.min("least").alias("component"))
+    joined = rows.join(placed.join(components, "group").select("fp", "group", "component"), "fp", "left")
     component = F.when(F.col("id").isNotNull(), F.col("component"))
-    return joined.select(F.col("id").alias(id), "fp", component.alias("component_id"))
+    return joined.select(F.col("id").alias(id), "fp", component.alias("component_id"), "group")

@@ -11,53 +11,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldkeel.llm import byte_bpe, decontaminate, pii, simhash, toxicity
-from goldkeel.llm.common import table
-
-
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+from goldkeel.llm.common import columns, fresh, table
+from goldkeel.session import stage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keep documents that score below the threshold."""
+    """Keep documents that score below the threshold. Null and empty texts
+    score like texts without a listed word and stay; repeated rows each have
+    their score. Very long texts are scored whole. Extra columns of any name
+    stay; an empty table stays empty."""
     model = toxicity.learn(toxicity.training_rows(docs, table(spark, folder, "labels")))
-    scored = docs.withColumn("_toxicity", toxicity.toxicity(F.col("text"), model))
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*_columns(docs))
+    score = fresh("toxicity", docs)
+    scored = docs.withColumn(score, toxicity.toxicity(F.col("text"), model))
+    return scored.where(F.col(score) < toxicity.THRESHOLD).select(*columns(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Keep documents that hold no benchmark passage."""
-    found = decontaminate.with_matches(docs, table(spark, folder, "benchmark"), "_matches")
-    return found.where(F.size("_matches") == 0).select(*_columns(docs))
+    """Keep documents that hold no benchmark passage. Null and empty texts hold
+    none; repeated rows stay or go together. Very long texts are searched
+    whole. Extra columns of any name stay; an empty table stays empty."""
+    matches = fresh("matches", docs)
+    found = decontaminate.with_matches(docs, table(spark, folder, "benchmark"), matches)
+    return found.where(F.size(matches) == 0).select(*columns(docs))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep all documents, personal data in their texts replaced by marks.
-    ``n_chars`` is that of the new text."""
+    ``n_chars`` is that of the new text. Null and empty texts, repeated rows
+    and extra columns of any name stay as they are; very long texts are
+    searched whole. An empty table stays empty."""
     clean = pii.masked(docs)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
-    return clean.select(*_columns(docs))
+    return clean.select(*columns(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep one document of each near-duplicate group, that with the smallest
-    id; of rows that repeat an id, the one with the smallest text and columns.
-    Rows without an id are in no group and stay."""
-    found = simhash.near_duplicates(docs)
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_times"))
-    chosen = docs.join(kept, "doc_id")
-    rest = [c for c in docs.columns if c != "doc_id"]
-    first = F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_first")
-    repeated = chosen.where("_times > 1").groupBy("doc_id").agg(first)
-    names = _columns(docs)
-    return (
-        chosen.where("_times = 1")
-        .select(*names)
-        .unionByName(repeated.select("doc_id", *[F.col(f"_first.`{c}`") for c in rest]).select(*names))
-        .unionByName(docs.where("doc_id is null"))
+    id; of near copies that share this id, the one with the smallest text and
+    columns. Documents that share an id but are not near copies all stay, as do
+    rows without an id, which are in no group. Null and empty texts are near
+    copies of each other. Very long texts are compared whole. Extra columns of
+    any name stay; an empty table stays empty."""
+    found = stage(simhash.grouped(docs.select("doc_id", "text")), "near")
+    first = F.col("doc_id") == F.col("component_id")
+    ids = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("times"), F.count(F.when(first, 1)).alias("firsts")
     )
+    ids = stage(ids.where("firsts > 0"), "firsts")
+    # An id that only one row has tells that row.
+    kept = docs.join(ids.where("times = 1").select("doc_id"), "doc_id", "left_semi").select(*columns(docs))
+    repeated = ids.where("times > 1").select("doc_id")
+    if not repeated.isEmpty():
+        fp, group = fresh("fp", docs), fresh("group", docs)
+        groups = found.where(first).join(repeated, "doc_id", "left_semi")
+        groups = groups.select("doc_id", F.col("fp").alias(fp), F.col("group").alias(group)).distinct()
+        marked = simhash.fingerprints(docs.join(repeated, "doc_id", "left_semi"), "text", to=fp)
+        rows = F.struct(*columns(docs)).alias("row")
+        least = marked.join(groups, ["doc_id", fp]).select(group, rows).groupBy("row.doc_id", group).agg(F.min("row").alias("row"))
+        kept = kept.unionByName(least.select("row.*"))
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

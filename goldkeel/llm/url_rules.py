@@ -3,8 +3,10 @@
 A rule names a host and the beginning of a path, and fits the host with all its
 subdomains. A host turned round, label by label, puts a domain before its
 subdomains; with the path behind it, a rule's urls of one host are an interval
-of such keys: all that begin with the rule's own key. A url therefore has one
-key for each domain its host lies in, from its own up to the top.
+of such keys: all that begin with the rule's own key. A rule with a path also fits
+subdomains, whose labels stand between its host and its path, so that one key
+per url could not make it an interval. A url therefore has one key for each
+domain its host lies in, from the top down to as many labels as rules have.
 
 Keys and interval ends are sorted together and swept once. The sweep carries
 the stack of rules whose intervals are open. Intervals of prefixes nest or are
@@ -26,10 +28,11 @@ from goldkeel.operators.groups import broadcast_if_small
 from goldkeel.session import stage
 
 SHARE = 256  # keys of a domain swept in one sort, at least
+SHARES = 4096  # parts of a domain; beyond that its shares grow
 MAX_DOMAINS = 100_000  # of rules, that go to every task; more are joined by shuffles
 ALLOW, BLOCK = "allow", "block"
-# Sorts behind every path that begins alike, since no path holds it.
-LAST = "\U0010ffff"
+# No byte of UTF-8: behind a path it sorts after all that begin alike.
+LAST = b"\xff"
 
 
 def host_of(url: Column) -> Column:
@@ -83,7 +86,7 @@ def _stack_events(rules: DataFrame) -> DataFrame:
     beginnings of the path, as many as it has characters.
     """
     held = F.struct(F.length("path").alias("size"), "rule", "verdict")
-    begins = rules.select("domain", F.col("path").alias("at"), F.lit(0).alias("side"), held.alias("top"))
+    begins = rules.select("domain", F.col("path").cast("binary").alias("at"), F.lit(0).alias("side"), held.alias("top"))
     shorter = F.transform(
         F.sequence(F.lit(1), F.length("path")), lambda n: F.substring("path", F.lit(1), n - 1)
     )
@@ -94,7 +97,7 @@ def _stack_events(rules: DataFrame) -> DataFrame:
         rules.select("domain", F.col("path").alias("outer"), held.alias("top")), ["domain", "outer"]
     ).groupBy("domain", "own").agg(F.max("top").alias("top"))
     closed = rules.select("domain", F.col("path").alias("own")).join(around, ["domain", "own"], "left")
-    ends = closed.select("domain", F.concat("own", F.lit(LAST)).alias("at"), F.lit(2).alias("side"), "top")
+    ends = closed.select("domain", F.concat(F.col("own").cast("binary"), F.lit(LAST)).alias("at"), F.lit(2).alias("side"), "top")
     return begins.unionByName(ends)
 
 
@@ -113,8 +116,10 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     urls = urls.select("id", "times", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     labels = F.split("host", r"\.", -1)
     n = F.size(labels)
+    # Only as many labels as a rule's domain has at most.
+    deepest = known.agg(F.max(F.size(F.split("domain", r"\.", -1)))).first()[0] or 0
     domains = F.transform(
-        F.sequence(F.lit(1), n), lambda k: F.array_join(F.reverse(F.slice(labels, n - k + 1, k)), ".")
+        F.sequence(F.lit(1), F.least(n, F.lit(max(1, deepest)))), lambda k: F.array_join(F.reverse(F.slice(labels, n - k + 1, k)), ".")
     )
     keys = urls.where("host <> ''").select("id", "url", "host", "path", F.explode(domains).alias("domain"))
     # Only domains that have rules; the rest meets none.
@@ -123,9 +128,8 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     # A share has at least as many keys as rules, so copied rules never outweigh them.
     rows = known.groupBy("domain").agg(F.count(F.lit(1)).alias("rules"))
     sizes = keys.groupBy("domain").agg(F.count(F.lit(1)).alias("keys")).join(rows, "domain")
-    shares = sizes.select(
-        "domain", F.ceil(F.col("keys") / F.greatest(F.lit(share), "rules")).cast("int").alias("shares")
-    )
+    parts = F.least(F.lit(SHARES), F.ceil(F.col("keys") / F.greatest(F.lit(share), "rules")))
+    shares = sizes.select("domain", parts.cast("int").alias("shares"))
     shares = broadcast_if_small(stage(shares, "shares"), MAX_DOMAINS)
     events = known.join(shares, "domain").select(
         "domain", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), "at", "side", "top"
@@ -133,7 +137,7 @@ def judge(pages: DataFrame, rules: DataFrame, id: str = "page_id", url: str = "u
     dealt = keys.join(shares, "domain").select(
         "domain",
         F.pmod(F.xxhash64("id", "url"), F.col("shares")).cast("int").alias("share"),
-        F.col("path").alias("at"),
+        F.col("path").cast("binary").alias("at"),
         F.lit(1).alias("side"),
         "id",
         "url",
