@@ -64,7 +64,9 @@ def counted(df: DataFrame, by: Sequence[str], folded: Mapping[str, Column], coun
     """
     spellings = df.groupBy(*by).agg(F.count(F.lit(1)).alias(count))
     keys = {c: folded.get(c, F.col(c)).alias("_key_" + c) for c in by}
-    merged = spellings.groupBy(*keys.values()).agg(*[F.min(c).alias(c) for c in by], F.sum(count).alias(count))
+    # The smallest of a set, as a minimum of texts would sort all rows.
+    least = [F.array_min(F.collect_set(c)).alias(c) for c in by]
+    merged = spellings.groupBy(*keys.values()).agg(*least, F.sum(count).alias(count))
     # Always true; it keeps the counts, and with them the first step, in plans
     # that only use the names.
     return merged.where(F.col(count) > 0).select(*by, count)

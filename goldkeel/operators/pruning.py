@@ -38,11 +38,11 @@ def key_filter(keys: DataFrame, words: int = WORDS) -> DataFrame:
     return keys.groupBy(_word(names, words).alias("_word")).agg(F.bit_or(_bits(names)).alias("_bits"))
 
 
-def filtered_by_keys(rows: DataFrame, keys: Sequence[str], filter: DataFrame, words: int = WORDS) -> DataFrame:
-    """Rows whose key may be in the filter, which goes to every task."""
+def filtered_by_keys(rows: DataFrame, keys: Sequence[str], held: DataFrame, words: int = WORDS) -> DataFrame:
+    """Rows whose key may be in the filter ``held``, which goes to every task."""
     bits = _bits(keys)
-    hit = (_word(keys, words) == filter["_word"]) & (filter["_bits"].bitwiseAND(bits) == bits)
-    return rows.join(F.broadcast(filter), hit, "left_semi")
+    hit = (_word(keys, words) == held["_word"]) & (held["_bits"].bitwiseAND(bits) == bits)
+    return rows.join(F.broadcast(held), hit, "left_semi")
 
 
 def pruned(rows: DataFrame, by: DataFrame, keys: Sequence[str], max_rows: int, words: int = WORDS) -> DataFrame:

@@ -67,6 +67,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     For tables used several times: later stages rescan only the columns they
     need, know the true size, and a lost executor costs no recomputation.
     """
+    return staged(df, name)[0]
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """A staged table and its folder, for ``discard`` when it has served."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing still to run reads."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

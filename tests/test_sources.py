@@ -3,7 +3,7 @@ import datetime
 import pytest
 
 from conftest import rows
-from goldkeel.session import get_session, scratch_folder, stage
+from goldkeel.session import discard, get_session, scratch_folder, stage, staged
 from goldkeel.sources.npi_files import load_deactivations, load_npi_registry
 from goldkeel.sources.schemas import registry_columns, registry_schema
 
@@ -105,3 +105,12 @@ def test_a_checked_load_reads_its_file_once(spark, tmp_path):
     assert rows(load.rows) == [("1003002031", datetime.date(2012, 5, 1))]
     assert rows(load.rejects) == [("1003002049", "1003002049,x")]
     assert "Scan csv" not in plan(load.rows) and "Scan csv" not in plan(load.rejects)
+
+
+def test_a_discarded_stage_is_gone(spark):
+    df, path = staged(spark.range(3), "some")
+    assert df.count() == 3
+    discard(spark, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    discard(spark, path)

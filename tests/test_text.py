@@ -96,6 +96,8 @@ def test_retrieval_type_by_exact_case(spark):
 def test_npi_status(spark):
     got = evaluate(spark, ["1", "2", "3", None], lambda c: npi_status(c, "No Record"))
     assert got == ["Individual", "Organization", "No Record", "No Record"]
+    got = evaluate(spark, ["01", " 2 ", "x", ""], lambda c: npi_status(c, "No Record"))
+    assert got == ["Individual", "Organization", "No Record", "No Record"]
 
 
 def test_content_id(spark):

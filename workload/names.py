@@ -20,8 +20,8 @@ def _keyword_names() -> str:
     cases = " ".join(f"when {i} then '{w}'" for i, w in enumerate(words))
     name = f"(case {number} % {len(words) + 1} {cases} end)"
     return (
-        f"case Location__c % 5 when 0 then {name} when 1 then upper({name}) when 2 then concat(lower({name}), '  ') "
-        f"when 3 then concat('the ', {name}, 'x') else concat(' ', {name}) end"
+        f"case Location__c % 5 when 0 then {name} when 1 then upper({name}) when 2 then lower({name}) || '  ' "
+        f"when 3 then 'the ' || {name} || 'x' else ' ' || {name} end"
     )
 
 

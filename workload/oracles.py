@@ -564,6 +564,9 @@ def oracle_sql() -> dict[str, str]:
         "c20_load_deactivations": with_ctes({}, "select * from deactivation"),
         "c21_npi_status": with_ctes({}, status.format(STATUS.format("De-activated"))),
         "c21_npi_status_no_record": with_ctes({}, status.format(STATUS.format("No Record"))),
+        "c21_npi_status_of_registry_file": with_ctes(
+            {}, f"select n.*, {STATUS.format('De-activated')} as Status_of_npi from registry_file n"
+        ),
         "c22_provider_registry_view": with_ctes(VIEW, "select * from view_rows"),
         "c23_one_per_client_npi": with_ctes(
             VIEW,

@@ -417,6 +417,12 @@ def c21_npi_status_no_record(b: Bindings) -> DataFrame:
     return rg.npi_status(b.registry, rg.NO_RECORD).select("NPI", "Entity_Type_Code", "Status_of_npi")
 
 
+@query
+def c21_npi_status_of_registry_file(b: Bindings) -> DataFrame:
+    """All 329 columns and the status."""
+    return rg.npi_status(b.registry_file)
+
+
 @query
 def c22_provider_registry_view(b: Bindings) -> DataFrame:
     return _view(b)
