@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldkeel.session import stage
+from goldkeel.session import discard, staged
 
 
 def _fingerprint(links: DataFrame) -> tuple:
@@ -44,11 +44,13 @@ def connected_components(links: DataFrame) -> DataFrame:
     component is named by its smallest node. Without links the result is empty.
     """
     clean = links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    current = stage(clean, "links")
+    current, path = staged(clean, "links")
     seen = _fingerprint(current)
     while seen[0]:
-        current = stage(_small_star(_large_star(current)), "links")
+        before = path
+        current, path = staged(_small_star(_large_star(current)), "links")
         now = _fingerprint(current)
+        discard(links.sparkSession, before)
         if now == seen:
             break
         seen = now
