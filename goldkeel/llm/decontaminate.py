@@ -343,7 +343,8 @@ def with_matches(
 def contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per match: id, ``item_id``, ``start``, ``end``, ``edits``.
 
-    Clean rows give none, repeated rows repeat theirs.
+    Clean rows give none, as do null and empty texts; repeated rows repeat
+    theirs. Other columns are not read; an empty table gives none.
     """
     found = with_matches(docs.select(F.col(id), F.col(text).alias("_text")), benchmark, "_matches", "_text")
     return found.select(F.col(id), F.inline("_matches"))

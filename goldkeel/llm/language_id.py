@@ -176,7 +176,9 @@ def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row of ``docs``.
 
     Learned from the rows of the other folds; ``lang`` is only the label.
-    Repeated rows and null ids stay. Without any label all are ``und``.
+    Repeated rows and null ids stay. Null texts and texts without a letter are
+    ``und``, very long ones are scored whole. Without any label all are ``und``.
+    Other columns are not read; an empty table gives none.
     """
     held_out = fold_of("doc_id", FOLDS) == HELD_OUT
     model = learn(docs.where(~held_out).select(F.col("doc_id").alias("id"), "text", "lang"))

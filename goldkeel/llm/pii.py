@@ -233,7 +233,9 @@ def written(spans: Column) -> Column:
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, ``base_sha256``,
-    ``spans``) of every row; repeated rows and null ids stay."""
+    ``spans``) of every row; repeated rows and null ids stay. Null and empty
+    texts have no spans, very long ones are searched whole. Other columns are
+    not read; an empty table gives none."""
     found = with_spans(docs.select(F.col(id), F.col(text)), text)
     counts = [_count("base_spans", kind.name).alias(f"n_{kind.name}") for kind in BASE]
     digest = F.sha2(written(F.col("base_spans")).cast("binary"), 256)

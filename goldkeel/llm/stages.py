@@ -76,7 +76,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip): the last is whether decoding the
-    tokens gives the text back, which it always must."""
+    tokens gives the text back, which it always must. Null texts count as
+    empty, which have no tokens; very long ones are encoded whole. Repeated rows
+    and null ids stay, other columns are not read. An empty table gives none."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = byte_bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     text = F.coalesce("text", F.lit("")).cast("binary")

@@ -276,7 +276,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``.
 
     Repeated rows and null ids stay; null and empty texts have no evidence and
-    get the lowest score there is. Labels that are null or belong to no
+    get the lowest score there is; very long texts are searched whole. Other
+    columns are not read; an empty table gives none. Labels that are null or belong to no
     document teach nothing; contradicting labels of an id count as toxic.
     """
     model = learn(training_rows(docs, labels))
