@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,17 +17,24 @@ from goldkeel.llm.common import text_or_empty
 
 LIMIT = 512
 SLICE = 1 << 20  # characters pre-tokenised at a time
-SPECIAL = ("<|endoftext|>",)
 
 
-def count_tokens(column: Column, vocabulary: str, pattern: str, special: tuple[str, ...] = SPECIAL) -> Column:
+def special_strings(vocabulary: str) -> list[str]:
+    """The strings that a vocabulary in JSON form adds as tokens of their own."""
+    with open(vocabulary, encoding="utf-8") as file:
+        return [token["content"] for token in json.load(file).get("added_tokens", [])]
+
+
+def count_tokens(column: Column, vocabulary: str, pattern: str) -> Column:
     """Number of tokens under a byte-level vocabulary in JSON form.
 
-    A special string inside a text is one token, as is the vocabulary's
+    A special string of the vocabulary inside a text is one token, which is its
     default, and ends the pre-token before it. No other special tokens, no
-    truncation. Null gives null, an empty text 0.
+    truncation. Null gives null, an empty text 0, a very long one is counted
+    whole.
     """
 
+    special = sorted(special_strings(vocabulary), key=len, reverse=True)
     cut = regex.compile("|".join(map(regex.escape, special))) if special else None
 
     @F.pandas_udf("long")
