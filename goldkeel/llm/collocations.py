@@ -29,6 +29,7 @@ SPACING = 16  # words from cut to cut, on average
 FARTHEST = 1024  # words after which a cut is made in any case
 SLOTS = 1 << 21
 LOTS = 64  # parts of a language that are ranked before the language is
+STOPS = ".,;:!?\n\x0b\x0c\r"  # signs between pieces
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -68,17 +69,22 @@ def chunk_dictionary(
     """(lang, chunk, owned, times): each distinct chunk, the number of its words
     at which phrases start, and how often it was parsed. A piece of no more
     than ``spacing`` words is one chunk."""
-    lowered = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER + "\t", LOWER + " ")
-    single = F.regexp_replace(lowered, "  +", " ")
+    # Blanks become one kind, and so do the signs between pieces.
+    plain = F.translate(F.coalesce(F.col(text), F.lit("")), UPPER + "\t" + STOPS, LOWER + " " + "." * len(STOPS))
     pieces = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-        F.explode(F.split(single, r"[.,;:!?\x0A-\x0D]")).alias("piece"),
+        F.explode(F.split(F.regexp_replace(plain, "  +", " "), r"\.")).alias("piece"),
     )
     pieces = pieces.select("lang", F.trim("piece").alias("piece")).where("piece <> ''")
-    size = F.length("piece") - F.length(F.translate("piece", " ", "")) + 1
-    whole = F.array(F.struct(F.col("piece").alias("chunk"), size.alias("owned")))
-    parts = F.when(size <= spacing, whole).otherwise(_chunks(F.col("piece"), spacing, farthest))
-    return pieces.select("lang", F.inline(parts)).groupBy("lang", "chunk", "owned").agg(F.count(F.lit(1)).alias("times"))
+    size = F.length("piece") - F.length(F.replace("piece", F.lit(" "), F.lit(""))) + 1
+    pieces = pieces.select("lang", "piece", size.alias("size"))
+    # Null, and thus one row, for pieces that are a chunk as they are.
+    parts = F.when(F.col("size") > spacing, _chunks(F.col("piece"), spacing, farthest))
+    cut = pieces.select("lang", "piece", "size", F.explode_outer(parts).alias("part"))
+    chunks = cut.select(
+        "lang", F.coalesce("part.chunk", "piece").alias("chunk"), F.coalesce("part.owned", "size").alias("owned")
+    )
+    return chunks.groupBy("lang", "chunk", "owned").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _slot(words: list[Column], slots: int) -> Column:
@@ -95,12 +101,9 @@ def _grams(dictionary: DataFrame, longest: int, shortest: int) -> DataFrame:
     of ``shortest`` words or more starts, nulls beyond the end."""
     words = dictionary.select("lang", "times", "owned", F.split("chunk", " ").alias("words"))
     starts = F.least(F.col("owned"), F.size("words") - (shortest - 1))
-
-    def at(i: Column) -> Column:
-        return F.struct(*[F.get("words", i + k).alias(f"w{k}") for k in range(longest)])
-
-    places = F.transform(F.sequence(F.lit(0), starts - 1), at)
-    return words.where(starts > 0).select("lang", "times", F.inline(places))
+    shifted = [F.slice("words", k + 1, F.size("words")).alias(f"w{k}") for k in range(longest)]
+    places = words.where(starts > 0).select("lang", "times", F.explode(F.slice(F.arrays_zip(*shifted), 1, starts)).alias("at"))
+    return places.select("lang", "times", "at.*")
 
 
 def phrase_counts(dictionary: DataFrame, least: int, slots: int = SLOTS) -> DataFrame:
