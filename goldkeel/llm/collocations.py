@@ -102,8 +102,8 @@ def _grams(dictionary: DataFrame, longest: int, shortest: int) -> DataFrame:
     words = dictionary.select("lang", "times", "owned", F.split("chunk", " ").alias("words"))
     starts = F.least(F.col("owned"), F.size("words") - (shortest - 1))
     shifted = [F.slice("words", k + 1, F.size("words")).alias(f"w{k}") for k in range(longest)]
-    places = words.where(starts > 0).select("lang", "times", F.explode(F.slice(F.arrays_zip(*shifted), 1, starts)).alias("at"))
-    return places.select("lang", "times", "at.*")
+    places = F.explode(F.slice(F.arrays_zip(*shifted), 1, starts)).alias("at")
+    return words.where(starts > 0).select("lang", "times", places).select("lang", "times", "at.*")
 
 
 def phrase_counts(dictionary: DataFrame, least: int, slots: int = SLOTS) -> DataFrame:

@@ -69,8 +69,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
         groups = groups.select("doc_id", F.col("fp").alias(fp), F.col("group").alias(group)).distinct()
         marked = simhash.fingerprints(docs.join(repeated, "doc_id", "left_semi"), "text", to=fp)
         rows = F.struct(*columns(docs)).alias("row")
-        least = marked.join(groups, ["doc_id", fp]).select(group, rows).groupBy("row.doc_id", group).agg(F.min("row").alias("row"))
-        kept = kept.unionByName(least.select("row.*"))
+        near = marked.join(groups, ["doc_id", fp]).select(group, rows)
+        kept = kept.unionByName(near.groupBy("row.doc_id", group).agg(F.min("row").alias("row")).select("row.*"))
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -180,7 +180,8 @@ def test_running_totals(spark):
 def test_a_text_of_many_spans(spark):
     """40,000 addresses in a text of about one megabyte."""
     text = " ".join(f"user{i}@host{i % 97}.example" for i in range(40_000))
-    docs = spark.createDataFrame([(1, text), (2, "ü" + text[:9000] + "é +49 (0)30 1234567, 10.0.0.1")], "doc_id long, text string")
+    mixed = "ü" + text[:9000] + "é +49 (0)30 1234567, 10.0.0.1"
+    docs = spark.createDataFrame([(1, text), (2, mixed)], "doc_id long, text string")
     begin = time.time()
     report = {r.doc_id: r for r in pii.report(docs).collect()}
     assert report[1].n_email == 40_000
@@ -197,7 +198,8 @@ def test_a_word_of_many_letters(spark):
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     merges = bpe_merges.Merges.from_ranks(RANKS)
     dice = random.Random(5)
-    long = ["".join(dice.choice(letters) for _ in range(n)) for letters, n in (("abcdefghij", 100_000), ("中文字", 5000), ("a", 4001), ("0123456789abcdef", 2000), ("ab", 513))]
+    kinds = [("abcdefghij", 100_000), ("中文字", 5000), ("a", 4001), ("0123456789abcdef", 2000), ("ab", 513)]
+    long = ["".join(dice.choice(letters) for _ in range(n)) for letters, n in kinds]
     begin = time.time()
     symbols, sizes = merges.encode([w.encode() for w in ["x", *long, "", "hello"]])
     assert time.time() - begin < 10
