@@ -70,9 +70,10 @@ def _edits(size: int) -> int:
 
 class Passages:
     """A block of passages, each looked up by the means that suits its length:
-    the widest q-grams that leave a bound, or exactly if it allows no edit."""
+    the widest q-grams that leave a bound, or exactly if it allows no edit, then
+    on demand as whole words only."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], whole_words: bool = False) -> None:
         kept = [(i, t) for i, t in ((i, normalised(t)) for i, t in items) if t]
         self.sizes = np.array([len(t) for _, t in kept], np.int64)
         self.edits = np.array([_edits(len(t)) for _, t in kept], np.int64)
@@ -81,7 +82,7 @@ class Passages:
             k = _edits(len(t))
             width = next(q for q in WIDTHS if len(t) + 1 - q - k * q >= 1) if k else 0
             by_width.setdefault(width, []).append((i, t))
-        self.exact = Exact(by_width.pop(0, []))
+        self.exact = Exact(by_width.pop(0, []), whole_words)
         self.blocks = [Block(chosen, q) for q, chosen in by_width.items()]
 
     def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
@@ -105,7 +106,8 @@ class Passages:
 class Exact:
     """Passages that allow no edit, all found in one pass over a text."""
 
-    def __init__(self, kept: list[tuple[int, str]]) -> None:
+    def __init__(self, kept: list[tuple[int, str]], whole_words: bool) -> None:
+        self.whole_words = whole_words
         ids: dict[str, set[int]] = {}
         for i, t in kept:
             ids.setdefault(t, set()).add(i)
@@ -121,7 +123,7 @@ class Exact:
         return [
             (i, last + 1 - size, last + 1, 0)
             for last, (size, ids) in self.automaton.iter(text)
-            if not (_one_word(text, last + 1 - size) or _one_word(text, last + 1))
+            if not (self.whole_words and (_one_word(text, last + 1 - size) or _one_word(text, last + 1)))
             for i in ids
         ]
 
@@ -284,7 +286,7 @@ def matches_in(column: Column, items: list[tuple[int, str]]) -> Column:
 
     @F.pandas_udf(MATCHES)
     def searched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        passages = Passages(items)
+        passages = Passages(items, whole_words=True)
         for batch in batches:
             out: list[list] = []
             waiting: list[str] = []
