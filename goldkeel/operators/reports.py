@@ -29,7 +29,8 @@ def numbered_report(df: DataFrame, order: Sequence[str | int | Column], place: s
     settled = {o.lstrip("-") if isinstance(o, str) else df.columns[abs(o) - 1] for o in order if not isinstance(o, Column)}
     ties = [F.col(f"`{c}`").asc() for c in df.columns if c not in settled]
     keys = [*[_ordering(df, o) for o in order], *ties]
-    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Ranges are found from a sample, which would compute the rows once more.
+    dealt = stage(df, "unsorted").repartitionByRange(*keys).sortWithinPartitions(*keys)
     rows = stage(dealt.withColumn(number, F.monotonically_increasing_id()), "report")
     part = F.shiftright(number, PART_BITS)
     # As many rows as there were tasks.
