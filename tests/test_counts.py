@@ -56,6 +56,31 @@ def test_sums_equal_the_summed_matrix(pairs, mode):
     assert rows(summed_counts_per_location(pairs, address_mode=mode)) == rows(expected)
 
 
+@pytest.mark.parametrize("mode", ["lines", "full"])
+@pytest.mark.parametrize("hot_rows", [0, 40])
+def test_hot_locations_change_no_sums(pairs, data, mode, hot_rows):
+    got = summed_counts_per_location(pairs, address_mode=mode, hot_rows=hot_rows).select("Location__c", *GRAINS)
+    places = sorted({r[0] for r in data})
+    expected = [
+        (p, *[sum(count(data, r, grain_keys(g, mode)) for r in data if r[0] == p) for g in GRAINS]) for p in places
+    ]
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_sums_move_pairs_once_and_not_per_grain(pairs):
+    plan = summed_counts_per_location(pairs)._jdf.queryExecution().executedPlan().toString()
+    initial = plan.split("Initial Plan")[-1]
+    assert initial.count("Exchange") == 1 and "Expand" not in plan
+
+
+@pytest.mark.parametrize("of", [summed_counts_per_location, chart_count_matrix])
+def test_more_pairs_go_to_more_tasks(pairs, monkeypatch, of):
+    from goldkeel.operators import counts
+
+    monkeypatch.setattr(counts, "PAIRS_PER_TASK", 10)
+    assert of(pairs).rdd.getNumPartitions() == 16
+
+
 def test_counts_over_keys_add_up_to_the_location(pairs):
     matrix = chart_count_matrix(pairs)
     per_key = matrix.groupBy("Location__c", "key_npi").agg(F.max("CountOfCharts_atLoc_byNpi").alias("n"))
