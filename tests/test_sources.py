@@ -114,3 +114,19 @@ def test_a_discarded_stage_is_gone(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
     discard(spark, path)
+
+
+def test_a_small_file_is_no_single_task(spark, tmp_path, monkeypatch):
+    """Wide rows and lines of one small file are made by several tasks."""
+    from goldkeel.sources import bindings
+
+    folder = "/root/testdata/sf0.001"
+    usual = bindings.Bindings(spark, folder)
+    monkeypatch.setattr(bindings, "WIDE_ROWS_PER_TASK", 15)
+    monkeypatch.setattr(bindings, "LINES_PER_TASK", 500)
+    other = bindings.Bindings(spark, folder)
+    customers, lines = usual._star("customer").count(), usual._star("lineitem").count()
+    assert other._derive("registry_file").rdd.getNumPartitions() == -(-customers // 15) > 4
+    assert other._derive("chart").rdd.getNumPartitions() == -(-lines // 500) > 4
+    for name in ("registry_file", "chart", "junction"):
+        assert sorted(map(repr, other._derive(name).collect())) == sorted(map(repr, usual._table(name).collect()))
