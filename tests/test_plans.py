@@ -126,3 +126,12 @@ def test_bounds_of_a_project_reach_the_reader(b):
     text = plan(junction_rows(b.junction, "BUILDING|2018|MRR|0"))
     assert "GreaterThanOrEqual(Project_Name__c,BUILDING|2018|MRR|0)" in text
     assert "LessThan(Project_Name__c,building|2018|mrr|0!)" in text
+
+
+def test_links_are_checked_as_a_table(spark):
+    """The check's own two sets of keys, and none of the links' beside them."""
+    from workload.queries import QUERIES
+
+    plan = QUERIES["c37_uniqueness_of_links"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    initial = plan.toString().split("Initial Plan")[-1]
+    assert "Join" not in initial and initial.count("HashAggregate") == 4
