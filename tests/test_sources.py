@@ -1,6 +1,7 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from goldkeel.session import discard, get_session, scratch_folder, stage, staged
@@ -130,3 +131,63 @@ def test_a_small_file_is_no_single_task(spark, tmp_path, monkeypatch):
     assert other._derive("chart").rdd.getNumPartitions() == -(-lines // 500) > 4
     for name in ("registry_file", "chart", "junction"):
         assert sorted(map(repr, other._derive(name).collect())) == sorted(map(repr, usual._table(name).collect()))
+
+
+def test_shuffles_of_many_rows_make_more_tasks(spark, monkeypatch):
+    from goldkeel import session
+
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 10)
+    parts, size = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    usual = spark.conf.get(parts), spark.conf.get(size)
+    with session.shuffling(spark, 95):
+        assert spark.conf.get(parts) == "10" and spark.conf.get(size) == str(session.BYTES_PER_TASK)
+    with pytest.raises(ZeroDivisionError), session.shuffling(spark, 95):
+        1 / 0
+    assert (spark.conf.get(parts), spark.conf.get(size)) == usual
+    with session.shuffling(spark, 1):
+        assert spark.conf.get(parts) == usual[0]
+    assert not spark.conf._jconf.contains(size)
+
+
+def test_counted_pairs_tell_how_many_rows_they_shuffle(spark, monkeypatch):
+    from goldkeel import session
+    from goldkeel.plans import mastering
+    from goldkeel.sources import bindings, snapshots
+    from workload import queries
+
+    told = []
+
+    def note(of, rows):
+        told.append(rows)
+        return shuffling(of, rows)
+
+    shuffling = session.shuffling
+    for module in (session, bindings, snapshots):
+        monkeypatch.setattr(module, "shuffling", note)
+    monkeypatch.setattr(bindings.Bindings, "_written", {})
+    b = bindings.Bindings(spark, "/root/testdata/sf0.001")
+    lines = b._star("lineitem").count()
+    queries._pairs(b)
+    assert told.count(lines) == 3  # junction, charts and pairs
+    told.clear()
+    inputs = mastering.Inputs(b.provider, b.junction, b.charts, b.location)
+    store = snapshots.StateStore(spark, session.scratch_folder(spark, "state"))
+    mastering.master_project(spark, "LOCATION", "ADD", queries.PROJECT_A, inputs, store)
+    linked = b.junction.where(F.col("Project_Name__c") == queries.PROJECT_A).count()
+    links = len(b.junction.where(F.col("Project_Name__c") == queries.PROJECT_A).select(*queries.ch.PAIR).distinct().collect())
+    assert told[:2] == [linked, links] and links > 0
+
+
+def test_orders_move_to_the_customer_instead_of_lines(spark):
+    from goldkeel.sources.bindings import Bindings
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        derived = Bindings(spark, "/root/testdata/sf0.001")._derive("junction")
+        steps = derived._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    depth = [len(s) - len(s.lstrip(" :+-")) for s in steps]
+    first = next(i for i, s in enumerate(steps) if "Exchange hashpartitioning(o_custkey" in s)
+    below = next((i for i in range(first + 1, len(steps)) if depth[i] <= depth[first]), len(steps))
+    assert "l_orderkey" not in "".join(steps[first:below])
