@@ -275,3 +275,36 @@ def test_regional_projects_leave_and_stay(spark):
     appended = count["c18_masters_after_delete"] - count["c18_masters_after_first_add"]
     assert count["c15_append_masters_of_next_project"] == appended > 1
     assert count["c17_unmaster_regional_remaining"] == count["c18_map_after_delete"]
+
+
+def test_pairs_carry_marks_of_the_patterns_that_link_them(spark, monkeypatch):
+    """As a semi join finds them, with pairs that repeat, lack a key or are
+    linked by projects of both patterns."""
+    from types import SimpleNamespace
+
+    from workload import queries
+
+    provider = spark.createDataFrame([("c", p) for p in ("A|0", "A|1", "B|0 ", "C|2")], "Client_Name__c string, Project_Name__c string")
+    data = [(i % 5, i % 7, p, i % 3) for i in range(40) for p in ("A|0", "a|1", "B|0", "C|2") if i % 4 != len(p) + ord(p[0]) % 4]
+    data = [*data, *data[:9], (None, 1, "A|0", 1), (1, None, "A|1", 1), (77, 77, "C|2", 1), (78, 78, "Z|0", 1)]
+    day = F.expr("case when d > 0 then date '2018-01-01' + d end")
+    junction = spark.createDataFrame(data, "Location__c long, Provider__c long, Project_Name__c string, d int")
+    junction = junction.withColumns({"CreatedDate": F.to_date(F.lit("2018-01-02")), "LastModifiedDate": day}).drop("d")
+    b = SimpleNamespace(provider=provider, junction=junction)
+    marked = queries._marked_links(b, {"_even": "%|0", "_odd": "%|1"})
+    links = queries._links(b)
+    assert rows(marked.drop("_even", "_odd")) == rows(links)
+    for mark, pattern in (("_even", "%|0"), ("_odd", "%|1")):
+        own = queries._links(b, pattern).select(*queries.ch.PAIR)
+        wanted = rows(links.join(own, queries.ch.PAIR, "left_semi"))
+        found = marked.where(mark).drop("_even", "_odd").dropna(subset=queries.ch.PAIR)
+        assert rows(found) == wanted and wanted
+
+
+def test_the_change_feed_writes_its_pairs_once(spark, monkeypatch):
+    from workload import queries
+
+    names, stage = [], queries.stage
+    monkeypatch.setattr(queries, "stage", lambda df, name, rows=0: names.append(name) or stage(df, name, rows))
+    queries._upsert(Bindings(spark, "/root/testdata/sf0.001"))
+    assert names == ["pairs", "chase", "chase"]
