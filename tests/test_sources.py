@@ -169,8 +169,8 @@ def test_counted_pairs_tell_how_many_rows_they_shuffle(spark, monkeypatch):
     lines = b._star("lineitem").count()
     queries._pairs(b)
     assert told.count(lines) == 3  # junction, charts and pairs
-    told.clear()
     inputs = mastering.Inputs(b.provider, b.junction, b.charts, b.location)
+    told.clear()
     store = snapshots.StateStore(spark, session.scratch_folder(spark, "state"))
     mastering.master_project(spark, "LOCATION", "ADD", queries.PROJECT_A, inputs, store)
     linked = b.junction.where(F.col("Project_Name__c") == queries.PROJECT_A).count()
