@@ -14,6 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,33 +28,59 @@ OVERLAP = 512
 # A pre-token that ends so many characters before a chunk's end was found
 # without looking at what lies beyond: contractions need two, white space one.
 SURE = 4
+# Bytes of texts, and tokens, that a worker holds decoded or encoded at a time,
+# unless one text has more.
+PORTION = 1 << 20
+TOKENS = 1 << 18
 
 
-def encode_short(column: Column, ranks: str, pattern: str) -> Column:
-    """Token ids of texts that need no cutting; null gives null."""
+def _portions(batch: pa.Array, sizes: pa.Array, most: int) -> Iterator[pa.Array]:
+    """A batch in parts whose values have about ``most`` units together. What a
+    worker and the executor hold of the results is that of a part, then, not
+    of all rows that Spark sends at a time."""
+    units = pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    number = (np.cumsum(units) - units) // most
+    firsts = np.flatnonzero(np.append(True, np.diff(number) > 0)).tolist()
+    for begin, end in zip(firsts, [*firsts[1:], len(batch)], strict=True):
+        yield batch.slice(begin, end - begin)
 
-    @F.arrow_udf("array<int>")
+
+def encode_short(column: Column, ranks: str, pattern: str, decoded: bool = False) -> Column:
+    """Token ids of texts that need no cutting; null gives null. With
+    ``decoded`` a struct of the ``ids`` and the ``bytes`` they decode to, made
+    by the same worker: one for each of the two would hold twice the memory."""
+
+    @F.arrow_udf("struct<ids: array<int>, bytes: binary>" if decoded else "array<int>")
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cache, words = PieceCache(Merges.from_ranks(ranks)), splitter(pattern)
+        merges = Merges.from_ranks(ranks)
+        cache, words = PieceCache(merges), splitter(pattern)
+        spellings = spellings_of(ranks) if decoded else None
         for batch in batches:
-            # Texts become Python strings one at a time.
-            texts = (value.as_py() for value in batch)
-            totals, symbols = np.zeros(len(batch), np.int64), []
-            for owners, pieces in slices(words, None, texts):
-                places = cache.places(pieces)
-                totals += np.bincount(owners, cache.sizes[places], len(batch)).astype(np.int64)
-                symbols.append(cache.symbols(places))
-            offsets = np.append(0, np.cumsum(totals)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(symbols)))
-            yield pa.ListArray.from_arrays(lists.offsets, lists.values, mask=batch.is_null())
+            for portion in _portions(batch, pc.binary_length(batch), PORTION):
+                ids = _encode_all(portion, cache, words)
+                if decoded:
+                    ids = pa.StructArray.from_arrays([ids, _decode_all(ids, spellings)], names=["ids", "bytes"])
+                yield ids
 
     # Used more than once, it would be worked out anew for each use.
     return encoded.asNondeterministic()(column)
 
 
+def _encode_all(texts: pa.Array, cache: PieceCache, words: regex.Pattern) -> pa.Array:
+    totals, symbols = np.zeros(len(texts), np.int64), []
+    # Texts become Python strings one at a time.
+    for owners, pieces in slices(words, None, (value.as_py() for value in texts)):
+        places = cache.places(pieces)
+        totals += np.bincount(owners, cache.sizes[places], len(texts)).astype(np.int64)
+        symbols.append(cache.symbols(places))
+    offsets = np.append(0, np.cumsum(totals)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(symbols)))
+    return pa.ListArray.from_arrays(lists.offsets, lists.values, mask=texts.is_null())
+
+
 def _read_chunks(chunks: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """(key, start, text, ends, counts, ids) of chunks: where their pre-tokens
-    end within the chunk, how many ids each has, and the ids."""
+    """(key, start, text, lengths, counts, ids) of chunks: how long their
+    pre-tokens are, how many ids each has, and the ids, all packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, words = PieceCache(Merges.from_ranks(ranks)), splitter(pattern)
@@ -61,15 +89,25 @@ def _read_chunks(chunks: DataFrame, ranks: str, pattern: str) -> DataFrame:
                 one = batch.slice(row, 1)
                 pieces = words.findall(one.column("text")[0].as_py())
                 places = cache.places(pieces)
-                ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-                found = (ends, cache.sizes[places], cache.symbols(places))
-                lists = [pa.array([x.astype(np.int32)]) for x in found]
+                lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+                found = (lengths, cache.sizes[places], cache.symbols(places))
+                lists = [pa.array([_pack(x)], pa.binary()) for x in found]
                 yield pa.RecordBatch.from_arrays([*one.columns, *lists], names=[*one.schema.names, *FOUND])
 
-    return chunks.mapInArrow(run, "key string, start long, text string, ends array<int>, counts array<int>, ids array<int>")
+    return chunks.mapInArrow(run, "key string, start long, text string, lengths binary, counts binary, ids binary")
+
 
+FOUND = ("lengths", "counts", "ids")
 
-FOUND = ("ends", "counts", "ids")
+
+def _pack(numbers: np.ndarray) -> bytes:
+    """Numbers, none negative, in the fewest bytes each that hold them all."""
+    kind = np.min_scalar_type(int(numbers.max(initial=0)))
+    return kind.char.encode() + numbers.astype(kind).tobytes()
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, packed[:1].decode(), offset=1).astype(np.int64)
 
 
 def stitch(chunks: list[dict], merges: Merges, pattern: str, step: int = CHUNK) -> np.ndarray:
@@ -83,8 +121,8 @@ def stitch(chunks: list[dict], merges: Merges, pattern: str, step: int = CHUNK)
         last = number == len(chunks) - 1
         if at >= end and not last:
             continue
-        ends, counts, ids = (np.asarray(chunk[n], np.int64) for n in FOUND)
-        ends = ends + chunk["start"]
+        lengths, counts, ids = (_unpack(chunk[n]) for n in FOUND)
+        ends = np.cumsum(lengths) + chunk["start"]
         starts = np.append(chunk["start"], ends)
         # Read on to a boundary of this chunk; none is needed at the very start.
         first = int(np.searchsorted(starts, at))
@@ -105,24 +143,28 @@ def stitch(chunks: list[dict], merges: Merges, pattern: str, step: int = CHUNK)
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
-def _encode_long(texts: DataFrame, ranks: str, pattern: str, step: int, overlap: int) -> DataFrame:
-    """(key, ids) of distinct long texts."""
+def _encode_long(
+    texts: DataFrame, ranks: str, pattern: str, step: int, overlap: int, decoded: bool = False
+) -> DataFrame:
+    """(key, ids) of the distinct of long texts, with ``decoded`` the ``bytes``
+    that the ids decode to as well, made where the ids are. Equal texts meet
+    as chunks, so none moves whole before it is read."""
     starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.length("text") - 1 - overlap), F.lit(step))
     cut = texts.select("key", "text", F.explode(starts).alias("start")).select(
         "key", F.col("start").cast("long"), F.substring("text", F.col("start") + 1, F.lit(step + overlap)).alias("text")
     )
-    read = _read_chunks(cut.repartition("key", "start"), ranks, pattern)
+    read = _read_chunks(cut.groupBy("key", "start").agg(F.first("text").alias("text")), ranks, pattern)
 
     def join(table: pa.Table) -> pa.Table:
-        rows = [
-            {n: row[n].values if n in FOUND else row[n].as_py() for n in table.column_names}
-            for row in (dict(zip(table.column_names, cells, strict=True)) for cells in zip(*table.columns, strict=True))
-        ]
+        rows = table.to_pylist()
         rows.sort(key=lambda r: r["start"])
         ids = stitch(rows, Merges.from_ranks(ranks), pattern, step)
-        return pa.table({"key": [rows[0]["key"]], "ids": [ids.astype(np.int32)]})
+        whole = {"key": [rows[0]["key"]], "ids": [ids.astype(np.int32)]}
+        if decoded:
+            whole["bytes"] = [_bytes(ids, *spellings_of(ranks))]
+        return pa.table(whole)
 
-    return read.groupBy("key").applyInArrow(join, "key string, ids array<int>")
+    return read.groupBy("key").applyInArrow(join, "key string, ids array<int>" + ", bytes binary" * decoded)
 
 
 def encode(
@@ -133,24 +175,28 @@ def encode(
     to: str = "ids",
     step: int = CHUNK,
     overlap: int = OVERLAP,
+    decoded: str | None = None,
 ) -> DataFrame:
     """Add the token ids of every whole text; null counts as empty, no ids.
+    ``decoded`` names a column to add as well, of the bytes the ids decode to.
 
     Texts of up to one step are encoded where they lie. Of longer ones the
     distinct are cut, read in parallel and stitched, each by itself, and come
     back by the text's SHA-256. Rows, ids and repeats stay as they are; the
-    new column must not exist yet.
+    new columns must not exist yet.
     """
     held, key, ids = fresh("whole", docs), fresh("text_key", docs), fresh("found_ids", docs)
     whole = docs.withColumn(held, text_or_empty(text))
     is_long = F.length(held) > step
-    short = whole.where(~is_long).withColumn(to, encode_short(F.col(held), ranks, pattern))
+    with_bytes = decoded is not None
+    short = whole.where(~is_long).withColumn(ids, encode_short(F.col(held), ranks, pattern, with_bytes))
     keyed = whole.where(is_long).withColumn(key, F.sha2(held, 256))
-    texts = keyed.groupBy(F.col(key).alias("key")).agg(F.first(held).alias("text"))
-    found = _encode_long(texts, ranks, pattern, step, overlap).toDF(key, ids)
-    long = keyed.join(found, key)
-    kept = columns(docs)
-    return short.select(*kept, to).unionByName(long.select(*kept, F.col(ids).alias(to)))
+    texts = keyed.select(F.col(key).alias("key"), F.col(held).alias("text"))
+    found = _encode_long(texts, ranks, pattern, step, overlap, with_bytes)
+    found = found.select(F.col("key").alias(key), (F.struct("ids", "bytes") if with_bytes else F.col("ids")).alias(ids))
+    every = short.unionByName(keyed.join(found, key).drop(key))
+    made = {to: F.col(ids)["ids"], decoded: F.col(ids)["bytes"]} if with_bytes else {to: F.col(ids)}
+    return every.select(*columns(docs), *[made[name].alias(name) for name in made])
 
 
 def decode(ids: Column, ranks: str) -> Column:
@@ -158,29 +204,40 @@ def decode(ids: Column, ranks: str) -> Column:
 
     @F.arrow_udf("binary")
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = spellings_of(ranks)
+        spellings = spellings_of(ranks)
         for batch in batches:
-            yield pa.array([_bytes(ids.values, *table) if ids.is_valid else None for ids in batch], pa.binary())
+            for portion in _portions(batch, pc.list_value_length(batch), TOKENS):
+                yield _decode_all(portion, spellings)
 
     return decoded(ids)
 
 
-def _bytes(ids: pa.Array | np.ndarray, sizes: np.ndarray, starts: np.ndarray, pool: np.ndarray) -> bytes:
-    numbers = np.asarray(ids)
-    lengths = sizes[numbers]
-    ends = np.cumsum(lengths)
-    index = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - lengths - starts[numbers], lengths)
-    return pool[index].tobytes()
+def _decode_all(lists: pa.Array, spellings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.Array:
+    return pa.array([_bytes(ids.values, *spellings) if ids.is_valid else None for ids in lists], pa.binary())
 
 
-def digests(encoded: DataFrame, ranks: str, id: str = "doc_id", ids: str = "ids") -> DataFrame:
+def _bytes(ids: pa.Array | np.ndarray, sizes: np.ndarray, starts: np.ndarray, pool: np.ndarray) -> bytes:
+    every = np.asarray(ids)
+    parts = []
+    for begin in range(0, len(every), TOKENS):
+        numbers = every[begin : begin + TOKENS]
+        lengths = sizes[numbers]
+        ends = np.cumsum(lengths)
+        index = np.arange(ends[-1]) - np.repeat(ends - lengths - starts[numbers], lengths)
+        parts.append(pool[index].tobytes())
+    return b"".join(parts)
+
+
+def digests(
+    encoded: DataFrame, ranks: str, id: str = "doc_id", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """(id, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``): the count of
     tokens, the digest of their decimal ids joined by one space, and of the
-    bytes they decode to."""
+    bytes they decode to, which ``decoded`` holds if it is given."""
     joined = F.array_join(F.col(ids).cast("array<string>"), " ")
     return encoded.select(
         F.col(id),
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col(ids), ranks), 256).alias("decoded_sha256"),
+        F.sha2(decode(F.col(ids), ranks) if decoded is None else F.col(decoded), 256).alias("decoded_sha256"),
     )

@@ -77,7 +77,8 @@ def op8_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return byte_bpe.digests(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded="decoded")
+    return byte_bpe.digests(encoded, ranks, decoded="decoded")
 
 
 def op10_pii(spark: SparkSession, folder: str) -> DataFrame:

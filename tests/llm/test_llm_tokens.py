@@ -6,6 +6,8 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -70,6 +72,52 @@ def test_decoding_gives_the_bytes_back(spark):
     assert all((r.text or "").encode() == bytes(r.bytes) for r in got)
 
 
+def test_encoding_decodes_as_well(spark, library):
+    texts = [*odd_texts(), None, "a b " * 700]
+    rows = [(i, t, "x") for i, t in enumerate(texts)] + [(1, texts[1], "x"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids_bytes string")
+    got = byte_bpe.encode(docs, RANKS, PATTERN, step=1000, overlap=64, decoded="decoded").collect()
+    assert sorted(((r.doc_id, r.text, r.ids_bytes) for r in got), key=repr) == sorted(rows, key=repr)
+    for row in got:
+        assert list(row.ids) == library.encode_ordinary(row.text or "")
+        assert bytes(row.decoded) == (row.text or "").encode()
+
+
+def test_one_worker_a_task_encodes_and_decodes(spark):
+    plan = queries.op9_byte_bpe(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1  # of short texts; long ones are decoded where they are stitched
+
+
+def test_batches_go_in_portions():
+    batch = pa.array(["ab", None, "é", "", "x" * 50, "y", None, "z"])
+    parts = list(byte_bpe._portions(batch, pc.binary_length(batch), 4))
+    assert pa.concat_arrays(parts).equals(batch)
+    assert [p.to_pylist() for p in parts] == [["ab", None, "é"], ["", "x" * 50], ["y", None, "z"]]
+    empty = pa.array([], pa.string())
+    assert [len(p) for p in byte_bpe._portions(empty, pc.binary_length(empty), 4)] == [0]
+
+
+@pytest.mark.parametrize(("numbers", "size"), [([], 1), ([0, 255], 3), ([256, 1], 5), ([65536], 5)])
+def test_numbers_travel_packed(numbers, size):
+    packed = byte_bpe._pack(np.array(numbers, np.int64))
+    assert (len(packed), byte_bpe._unpack(packed).tolist()) == (size, numbers)
+
+
+def test_long_texts_move_only_as_chunks(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c")], "doc_id long, text string")
+    plan = byte_bpe.encode(docs, RANKS, PATTERN, step=2, overlap=1)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 4  # chunks, what was read of them by text, both sides of the join back
+
+
+def test_many_ids_are_decoded_in_parts(monkeypatch, library):
+    monkeypatch.setattr(byte_bpe, "TOKENS", 3)
+    text = "one two three é😀 four  five\n"
+    ids = np.array(library.encode_ordinary(text), np.int32)
+    assert byte_bpe._bytes(ids, *byte_bpe.spellings_of(RANKS)) == text.encode()
+    assert byte_bpe._bytes(ids[:0], *byte_bpe.spellings_of(RANKS)) == b""
+
+
 def test_query_of_encoding_equals_the_library(spark, library):
     texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     got = queries.op9_byte_bpe(spark, SF).collect()
