@@ -12,7 +12,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
-from goldkeel.llm import byte_bpe, queries, token_counts
+from goldkeel.llm import byte_bpe, queries, stages, token_counts
 from goldkeel.llm.bpe_merges import Merges, PieceCache, splitter
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,8 +84,10 @@ def test_encoding_decodes_as_well(spark, library):
 
 
 def test_one_worker_a_task_encodes_and_decodes(spark):
-    plan = queries.op9_byte_bpe(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("ArrowEvalPython") == 1  # of short texts; long ones are decoded where they are stitched
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for made in (queries.op9_byte_bpe(spark, SF), stages.encode_tokens(spark, docs, SF)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1  # of short texts; long ones are decoded where they are stitched
 
 
 def test_batches_go_in_portions():
