@@ -10,8 +10,8 @@ downward a row is certainly among the best, or still level with the last of
 them; rows level after the last digit have equal scores, and ids decide.
 
 Blocks of queries meet blocks of the index by a join on the lane of the index
-block, so that neither side is ever gathered. A pair of blocks passes on ``k``
-rows for each query.
+block, which shuffles both, so that neither side is ever gathered. A pair of
+blocks passes on ``k`` rows for each query.
 """
 
 from __future__ import annotations
@@ -257,9 +257,10 @@ def top_k(
     index = stage(build_index(whole, total, width, rows), "index")
     asking = stage(query_blocks(whole.where(is_query), asked, width, queries), "queries")
     lanes = min(max(1, math.ceil(total / rows)), LANES)
-    # Each lane of the index sees each block of queries once.
+    # Each lane of the index sees each block of queries once. Spark takes these
+    # copies for as small as the packed file of one, so it must not broadcast them.
     spread = asking.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
-    found = _searched(index.join(spread, "lane"), width, k)
+    found = _searched(index.hint("merge").join(spread, "lane"), width, k)
     place = F.row_number().over(Window.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), "vec_id"))
     best = found.withColumn("rank", place).where(F.col("rank") <= k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

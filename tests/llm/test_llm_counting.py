@@ -140,6 +140,20 @@ def test_top_k_matches_brute_force(spark, block, queries):
     assert rows(found) == brute_top(data)
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_top_k_gathers_no_blocks_in_the_driver(spark, adaptive):
+    data = [(i, [float(i % 7), 1.0]) for i in range(200)]
+    usual = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        found = bit_slices.top_k(vectors(spark, data), rows=5, queries=3)
+        assert rows(found) == brute_top(data)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", usual)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_top_k_of_few_and_of_none(spark):
     assert rows(bit_slices.top_k(vectors(spark, []))) == []
     assert rows(bit_slices.top_k(vectors(spark, [(50, [1.0])]))) == []
